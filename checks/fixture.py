@@ -8,6 +8,7 @@ column is text, as in a raw extract.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals rows out to all cores when the scan has fewer splits than cores.
+
+    A table of many files is left as it is; one file with one row group would
+    otherwise be typed and joined by a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _plus_days(ts: Column, days: Column) -> Column:
-    return (ts.cast("timestamp_ntz") + F.make_dt_interval(days.cast("int"))).cast("string")
+    return (ts + F.make_dt_interval(days.cast("int"))).cast("string")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +73,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+        )
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     bucket = F.floor(F.sqrt("l_suppkey"))
@@ -128,11 +143,28 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "orders": raw_orders(spark, sf_dir),
-        "order_lines": raw_order_lines(spark, sf_dir),
-        "products": raw_products(spark, sf_dir),
-        "suppliers": raw_suppliers(spark, sf_dir),
-        "category_labels": raw_category_labels(spark, sf_dir),
-    }
+RAW = {
+    "orders": raw_orders,
+    "order_lines": raw_order_lines,
+    "products": raw_products,
+    "suppliers": raw_suppliers,
+    "category_labels": raw_category_labels,
+}
+
+
+class RawTables(Mapping):
+    """Raw section to frame; each is built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, section: str) -> DataFrame:
+        if section not in self._built:
+            self._built[section] = RAW[section](self._spark, self._sf_dir)
+        return self._built[section]
+
+    def __iter__(self):
+        return iter(RAW)
+
+    def __len__(self) -> int:
+        return len(RAW)

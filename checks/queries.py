@@ -8,9 +8,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, raw_tables
+from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, RawTables
 from stockpolicy.config import Mapping, SourceSpec
-from stockpolicy.functions.session import scratch_path
+from stockpolicy.functions.session import durable, scratch_path
 from stockpolicy.operators import gates, marts, policy, segment, staging, stats
 from stockpolicy.plans import findings, history, profile, readiness
 from stockpolicy.schemas import SERIES
@@ -49,8 +49,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return raw_tables(self.spark, self.sf_dir)
+    def raw(self) -> RawTables:
+        return RawTables(self.spark, self.sf_dir)
 
     @cached_property
     def typed(self) -> DataFrame:
@@ -84,17 +84,27 @@ class Tables:
     def sales(self) -> DataFrame:
         return marts.weekly_sales(self.rollup)
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """The rollup as a stored mart: demand and durations both build on it."""
+        return durable(self.rollup)
+
     @cached_property
     def fct(self) -> DataFrame:
-        return marts.fct_demand_weekly(self.sales, CFG)
+        return marts.fct_demand_weekly(marts.weekly_sales(self.stored), CFG)
 
     @cached_property
     def fulfilment(self) -> DataFrame:
-        return marts.fulfilment_stats(self.rollup, CFG)
+        return marts.fulfilment_stats(self.stored, CFG)
+
+    @cached_property
+    def demand(self) -> DataFrame:
+        """The weekly fact straight from the lines, for plans that need nothing else."""
+        return marts.fct_demand_weekly(self.sales, CFG)
 
     @cached_property
     def window(self) -> DataFrame:
-        return stats.trailing_demand(self.fct, CALC_DATE, CFG.demand_window_weeks)
+        return stats.trailing_demand(self.demand, CALC_DATE, CFG.demand_window_weeks)
 
     @cached_property
     def series(self) -> DataFrame:
@@ -224,15 +234,15 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "weekly_sales": lambda t: t.sales,
     "modelled_series": lambda t: marts.modelled_series(t.sales, CFG),
     "calendar_spine": lambda t: marts.calendar_spine(marts.modelled_series(t.sales, CFG)),
-    "fct_demand_weekly": lambda t: t.fct,
+    "fct_demand_weekly": lambda t: t.demand,
     "fct_demand_to_calc_date": lambda t: marts.fct_demand_weekly(t.sales, CFG, CALC_DATE),
-    "fulfilment_stats": lambda t: t.fulfilment,
+    "fulfilment_stats": lambda t: marts.fulfilment_stats(t.rollup, CFG),
     "dim_seller": lambda t: marts.dim_seller(t.orders, t.items, t.sellers, CFG).drop("seller_key"),
     "dim_seller_keys": lambda t: marts.dim_seller(t.orders, t.items, t.sellers, CFG),
     # Series statistics
     "trailing_demand": lambda t: t.window,
     "demand_stats": lambda t: stats.demand_stats(t.window),
-    "series_activity": lambda t: stats.series_activity(t.fct, CALC_DATE),
+    "series_activity": lambda t: stats.series_activity(t.demand, CALC_DATE),
     "annualised_revenue": lambda t: stats.annualised_revenue(t.window, CFG.demand_window_weeks),
     # Segmentation
     "cumulative_revenue_share": lambda t: segment.cumulative_share(
@@ -292,7 +302,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "finding_freshness": lambda t: findings.f6_freshness(t.published),
     "finding_least_consistent": lambda t: findings.f7_least_consistent(t.published),
     "finding_outlier_sensitivity": lambda t: findings.f8_outlier_sensitivity(t.published, t.fct),
-    "ranked_weeks": lambda t: findings.ranked_weeks(t.fct),
+    "ranked_weeks": lambda t: findings.ranked_weeks(t.demand),
     "review_grid": lambda t: findings.review_grid(t.published),
     "review_worst": lambda t: findings.review_worst(t.published),
     "review_tiles": lambda t: findings.review_tiles(t.published),

@@ -25,11 +25,12 @@ def is_blank(c: Column | str) -> Column:
 
 def to_timestamp(c: Column | str) -> Column:
     """Text to timestamp without zone; blank and malformed become NULL."""
-    return blank_to_null(c).try_cast(TIMESTAMP)
+    return col(c).try_cast(TIMESTAMP)
 
 
 def to_number(c: Column | str, type_: str) -> Column:
-    return blank_to_null(c).try_cast(type_)
+    """Text to a number; blank and malformed become NULL."""
+    return col(c).try_cast(type_)
 
 
 def timestamp_lit(d: dt.date) -> Column:

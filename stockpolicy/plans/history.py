@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
 from stockpolicy.functions.columns import date_lit
+from stockpolicy.functions.session import durable
 from stockpolicy.operators.marts import (
     DAY_SUMS,
-    day_sums,
     duration_stats,
+    sum_of_sums,
     weekly_rollup,
-    weekly_sales,
     weeks_from,
 )
 from stockpolicy.operators.policy import freshness_columns, policy_columns
@@ -132,23 +132,35 @@ def _demand_as_of(sales: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> D
     )
 
 
-def _fulfilment_as_of(facts: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
-    spark = facts.sparkSession
-    first, last = date_lit(days[0]), date_lit(days[-1])
+def _known_rollup(facts: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Weekly rollup split by `known_at`, the first date that sees the line received.
+
+    NULL means no date does. Materialised, so the line-level join behind it runs
+    once for demand and durations together.
+    """
+    first = date_lit(days[0])
+    last = date_lit(days[-1])
     all_dates = F.array(*(date_lit(d) for d in days))
-    # Each day from the first date on, with the first calculation date that sees it.
-    calendar = spark.range(1).select(F.explode(F.sequence(first, last)).alias("known_day"))
-    calendar = calendar.select(
+    known_days = facts.sparkSession.range(1).select(
+        F.explode(F.sequence(first, last)).alias("known_day")
+    )
+    calendar = known_days.select(
         "known_day",
         F.array_min(F.filter(all_dates, lambda d: d >= F.col("known_day"))).alias("known_at"),
     )
     span = (days[-1] - days[0]).days + 1
+    dated = facts.withColumn("known_day", F.greatest("delivered_date", first)).join(
+        _small(calendar, span), "known_day", "left"
+    )
+    return durable(weekly_rollup(dated, "known_at"))
+
+
+def _fulfilment_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
+    all_dates = F.array(*(date_lit(d) for d in days))
     sums = (
-        facts.filter(F.col("delivered_date") <= last)
-        .withColumn("known_day", F.greatest("delivered_date", first))
-        .join(_small(calendar, span), "known_day", "inner")
+        known.filter(F.col("known_at").isNotNull())
         .groupBy(*SERIES, "known_at")
-        .agg(*day_sums())
+        .agg(*sum_of_sums())
     )
     by_date = Window.partitionBy(*SERIES).orderBy("known_at")
     so_far = by_date.rowsBetween(Window.unboundedPreceding, 0)
@@ -157,10 +169,7 @@ def _fulfilment_as_of(facts: DataFrame, days: list[dt.date], cfg: PolicyConfig)
         "known_at",
         F.lead("known_at").over(by_date).alias("next_known"),
         *(
-            F.sum(F.col(c).cast("decimal(20,0)") if c.endswith("_sq") else F.col(c))
-            .over(so_far)
-            .alias(c)
-            for c in DAY_SUMS
+            F.sum(c).over(so_far).alias(c) for c in DAY_SUMS
         ),
     ).filter(F.col("n_lines") >= cfg.min_deliveries)
     from_, until = F.col("known_at"), F.col("next_known")
@@ -176,8 +185,12 @@ def params_history_as_of(facts: DataFrame, dates, cfg: PolicyConfig) -> DataFram
     sales weeks up to it. Runs a job (ABC).
     """
     days = _sorted_dates(dates)
-    demand = _demand_as_of(weekly_sales(weekly_rollup(facts)), days, cfg)
-    joined = demand.join(_fulfilment_as_of(facts, days, cfg), DATED, "inner")
+    known = _known_rollup(facts, days)
+    sales = known.groupBy(*SERIES, "purchase_week").agg(
+        F.sum("units").alias("units"), F.sum("revenue").alias("revenue")
+    )
+    demand = _demand_as_of(sales, days, cfg)
+    joined = demand.join(_fulfilment_as_of(known, days, cfg), DATED, "inner")
     return policy_columns(
         freshness_columns(joined, F.col("calc_date"), cfg), cfg, by=["calc_date"]
     )
