@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sketch accuracy, and the half width of the bracket as a share of the rows.
-# The bracket is ten times wider than the sketch's rank error.
+# The bracket is ten times wider than the sketch's rank error. Up to ACCURACY
+# rows the bracket is everything.
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
 
@@ -17,35 +20,34 @@ def exact_percentile(df: DataFrame, value: str, p: float) -> DataFrame:
     A sketch brackets the wanted rank, the rows below the bracket are only
     counted, and just the distinct values inside it (about 0.2% of the rows)
     are ordered. A bracket that misses the rank raises instead of returning a
-    wrong value.
+    wrong value. Runs a job that brings the count and the two edges to the
+    driver.
     """
     values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
     edges = F.array(F.lit(max(p - MARGIN, 0.0)), F.lit(min(p + MARGIN, 1.0)))
-    sketch = values.agg(
-        F.struct(
-            F.count("v").alias("n"), F.percentile_approx("v", edges, ACCURACY).alias("cut")
-        ).alias("sketch")
-    ).scalar()
-    low, high = sketch["cut"][0], sketch["cut"][1]
-    below = values.filter(F.col("v") < low).agg(F.count("*")).scalar()
-    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    band = (
-        values.filter(F.col("v").between(low, high))
-        .groupBy("v")
+    n, cut = values.agg(F.count("v"), F.percentile_approx("v", edges, ACCURACY)).first()
+    low, high = (float(cut[0]), float(cut[1])) if n > ACCURACY else (-math.inf, math.inf)
+    rank = p * (n - 1) if n else 0.0
+    first, second = math.floor(rank), math.ceil(rank)
+
+    # All rows below the bracket share the NULL group, which sorts first.
+    counted = (
+        values.filter(F.col("v") <= high)
+        .groupBy(F.when(F.col("v") >= low, F.col("v")).alias("v"))
         .agg(F.count("*").alias("copies"))
-        .select("v", (F.sum("copies").over(upto) + below).alias("upto"))
     )
-    n = sketch["n"]
-    rank = F.lit(float(p)) * (n - 1)
-    first, second = F.floor(rank), F.ceil(rank)
+    upto = Window.orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("upto", F.sum("copies").over(upto))
+    below = F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("copies"))), F.lit(0))
     at_first = F.min(F.when(F.col("upto") > first, F.col("v")))
     at_second = F.min(F.when(F.col("upto") > second, F.col("v")))
-    missed = (n > 0) & ((below > first) | at_first.isNull() | at_second.isNull())
-    return band.agg(
-        F.when(missed, F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
-        .otherwise(at_first + (at_second - at_first) * (rank - first))
+    missed = F.lit(n > 0) & ((below > first) | at_first.isNull() | at_second.isNull())
+    error = F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
+    return ranked.agg(
+        F.when(missed, error)
+        .otherwise(at_first + (at_second - at_first) * F.lit(rank - first))
         .alias("value"),
-        n.alias("n"),
+        F.lit(n).alias("n"),
     )
 
 

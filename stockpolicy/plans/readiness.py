@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpolicy.config import Mapping, PolicyConfig
-from stockpolicy.functions.columns import days_between, to_timestamp, week_start
+from stockpolicy.functions.columns import to_timestamp, week_start
 from stockpolicy.plans.profile import lines_per_product
 from stockpolicy.schemas import READINESS_REQUIRED
 from stockpolicy.sources.extracts import path_exists, read_text_csv, to_canonical
@@ -49,14 +47,16 @@ def check_sources(
     return raw, problems
 
 
+def _bad_dates() -> dict[str, Column]:
+    return {
+        c: F.count_if(F.col(c).isNotNull() & to_timestamp(c).isNull()).alias(c)
+        for c in DATE_COLUMNS
+    }
+
+
 def unparseable(raw_orders: DataFrame) -> DataFrame:
     """Per date column: values that are present but will not parse."""
-    counts = raw_orders.agg(
-        *(
-            F.count_if(F.col(c).isNotNull() & to_timestamp(c).isNull()).alias(c)
-            for c in DATE_COLUMNS
-        )
-    )
+    counts = raw_orders.agg(*_bad_dates().values())
     return counts.unpivot([], list(DATE_COLUMNS), "column_name", "unparseable")
 
 
@@ -66,20 +66,22 @@ def status_values(raw_orders: DataFrame) -> DataFrame:
     )
 
 
-def usable_orders(raw_orders: DataFrame, cfg: PolicyConfig) -> DataFrame:
+def _usable_aggs(cfg: PolicyConfig) -> list[Column]:
     """Orders with a measurable duration, and the whole days of history they span / 7."""
     ordered, received = to_timestamp("ordered_at"), to_timestamp("received_at")
-    usable = raw_orders.filter(
-        (F.col("status") == cfg.completed_status) & (received > ordered)
-    ).select(ordered.alias("ordered"))
-    first, last = F.min("ordered"), F.max("ordered")
+    usable = (F.col("status") == cfg.completed_status) & (received > ordered)
+    first, last = F.min(F.when(usable, ordered)), F.max(F.when(usable, ordered))
     whole_days = F.floor(F.timestamp_diff("SECOND", first, last) / F.lit(86400))
-    return usable.agg(
-        F.count("*").alias("usable_orders"),
+    return [
+        F.count_if(usable).alias("usable_orders"),
         (whole_days / F.lit(7.0)).alias("span_weeks"),
         first.cast("date").alias("first_day"),
         last.cast("date").alias("last_day"),
-    )
+    ]
+
+
+def usable_orders(raw_orders: DataFrame, cfg: PolicyConfig) -> DataFrame:
+    return raw_orders.agg(*_usable_aggs(cfg))
 
 
 def product_grain(raw_lines: DataFrame) -> DataFrame:
@@ -133,12 +135,12 @@ def grain_verdict(product: DataFrame, series: DataFrame, cfg: PolicyConfig) -> D
     )
 
 
-def _row(df: DataFrame, check: Column, level: Column, value: Column, detail: Column) -> DataFrame:
-    return df.select(
-        check.alias("check"),
-        level.alias("level"),
+def _check(name: str, value: Column, level: Column | None = None, detail: Column | None = None):
+    return F.struct(
+        F.lit(name).alias("check"),
+        (F.lit(OK) if level is None else level).alias("level"),
         value.cast("double").alias("value"),
-        detail.cast("string").alias("detail"),
+        (F.lit(None) if detail is None else detail).cast("string").alias("detail"),
     )
 
 
@@ -146,62 +148,49 @@ def _level(bad: Column, when_bad: str) -> Column:
     return F.when(bad, F.lit(when_bad)).otherwise(F.lit(OK))
 
 
+def _rows(one_row: DataFrame, *checks: Column) -> DataFrame:
+    return one_row.select(F.inline(F.array(*checks)))
+
+
 def input_readiness(raw: dict[str, DataFrame], cfg: PolicyConfig) -> DataFrame:
-    """All data checks as rows: check, level, value, detail."""
+    """All data checks as rows: check, level, value, detail.
+
+    The order checks share one pass; the status values, the line counts and the
+    series each need a grouping of their own.
+    """
     orders, lines, products = raw["orders"], raw["order_lines"], raw["products"]
-    text = F.lit(None).cast("string")
-
-    dates = unparseable(orders)
-    n_bad = F.col("unparseable")
-    statuses = status_values(orders)
-    seen = statuses.orderBy("status").limit(8).agg(F.array_sort(F.collect_list("status")))
-    completed = statuses.agg(
-        F.coalesce(
-            F.sum(F.when(F.col("status") == cfg.completed_status, F.col("n"))), F.lit(0)
-        ).alias("n")
-    )
-    usable = usable_orders(orders, cfg)
-    span = F.concat_ws(" to ", F.col("first_day").cast("string"), F.col("last_day").cast("string"))
-    product = product_grain(lines)
-    series = series_grain(lines, products, orders, cfg)
-    verdict = grain_verdict(product, series, cfg)
-    ok = F.lit(OK)
-
-    rows = [
-        _row(dates, F.concat(F.lit("unparseable "), "column_name"), _level(n_bad > 0, WARN), n_bad, text),
-        _row(
-            completed,
-            F.lit("completed status"),
-            _level(F.col("n") == 0, FAIL),
-            F.col("n"),
-            F.concat_ws(", ", seen.scalar()),
-        ),
-        _row(
-            usable,
-            F.lit("usable orders"),
-            _level(F.col("usable_orders") < cfg.min_usable_orders, FAIL),
-            F.col("usable_orders"),
-            text,
-        ),
-        _row(
-            usable.filter(F.col("usable_orders") > 0),
-            F.lit("history weeks"),
-            _level(F.col("span_weeks") < cfg.min_span_weeks, WARN),
-            F.col("span_weeks"),
-            span,
+    usable, span = F.col("usable_orders"), F.col("span_weeks")
+    seen = status_values(orders).orderBy("status").limit(8)
+    seen = seen.agg(F.concat_ws(", ", F.array_sort(F.collect_list("status")))).scalar()
+    done = F.col("completed")
+    days = F.concat_ws(" to ", F.col("first_day").cast("string"), F.col("last_day").cast("string"))
+    order_checks = _rows(
+        orders.agg(
+            *_bad_dates().values(),
+            F.count_if(F.col("status") == cfg.completed_status).alias("completed"),
+            *_usable_aggs(cfg),
         ),
-        _row(product, F.lit("median lines per product"), ok, F.col("median_lines"), text),
-        _row(product, F.lit("products sold exactly once"), ok, F.col("sold_exactly_once"), text),
-        _row(product, F.lit("products sold"), ok, F.col("products_sold"), text),
-        _row(
-            verdict,
-            F.lit("viable series"),
-            _level(F.col("grain") == "none", FAIL),
-            F.col("viable_series"),
-            F.col("grain"),
+        *(
+            _check(f"unparseable {c}", F.col(c), _level(F.col(c) > 0, WARN))
+            for c in DATE_COLUMNS
         ),
-    ]
-    return reduce(DataFrame.unionByName, rows)
+        _check("completed status", done, _level(done == 0, FAIL), seen),
+        _check("usable orders", usable, _level(usable < cfg.min_usable_orders, FAIL)),
+        _check("history weeks", span, _level(span < cfg.min_span_weeks, WARN), days),
+    ).filter((F.col("check") != "history weeks") | F.col("value").isNotNull())
+    product = product_grain(lines)
+    product_checks = _rows(
+        product,
+        _check("median lines per product", F.col("median_lines")),
+        _check("products sold exactly once", F.col("sold_exactly_once")),
+        _check("products sold", F.col("products_sold")),
+    )
+    grain = F.col("grain")
+    series_checks = _rows(
+        grain_verdict(product, series_grain(lines, products, orders, cfg), cfg),
+        _check("viable series", F.col("viable_series"), _level(grain == "none", FAIL), grain),
+    )
+    return order_checks.unionByName(product_checks).unionByName(series_checks)
 
 
 def overall_verdict(readiness: DataFrame) -> DataFrame:

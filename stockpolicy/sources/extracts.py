@@ -66,13 +66,15 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = True) -> Dat
     large extract should then come as many files (`path` may be a folder or a
     glob); without embedded line breaks pass False, and files are split too.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", multiline)
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .csv(path)
     )
+    header = reader.csv(path).schema
+    # With many files, each one's header must match the first one's.
+    return reader.schema(header).option("enforceSchema", False).csv(path)
 
 
 def scan_mapped(

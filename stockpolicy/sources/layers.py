@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,19 @@ def write_fact(df: DataFrame, path: str) -> None:
     )
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("week_year")
+def read_fact(
+    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """The weekly fact, optionally only weeks from `first` to `last`.
+
+    The bounds prune year folders, then row groups by the week's min/max.
+    """
+    df = spark.read.parquet(path)
+    for bound, keep in ((first, ">="), (last, "<=")):
+        if bound is not None:
+            day = f"date'{bound}'"
+            df = df.filter(f"week_year {keep} year({day}) and purchase_week {keep} {day}")
+    return df.drop("week_year")
 
 
 def write_small(df: DataFrame, path: str, fmt: str) -> None:
