@@ -98,7 +98,7 @@ spine AS (
   FROM series),
 fct AS (
   SELECT sp.category, sp.seller_id, sp.purchase_week,
-         CAST(coalesce(units, 0) AS DECIMAL(28,4)) AS units,
+         CAST(coalesce(units, 0) AS DECIMAL(18,4)) AS units,
          CAST(coalesce(revenue, 0) AS DECIMAL(38,8)) AS revenue
   FROM spine sp LEFT JOIN sales sa ON sa.category = sp.category AND sa.seller_id = sp.seller_id
    AND sa.purchase_week = sp.purchase_week)"""

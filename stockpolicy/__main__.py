@@ -1,4 +1,4 @@
-"""Command line: python -m stockpolicy check|load|profile|marts|run|findings."""
+"""Command line: python -m stockpolicy check|load|profile|marts|run|findings|export."""
 
 from __future__ import annotations
 
@@ -47,9 +47,9 @@ def _show(reports: dict) -> None:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="stockpolicy")
-    p.add_argument("step", choices=["check", "load", "profile", "marts", "run", "findings"])
+    p.add_argument("step", choices=["check", "load", "profile", "marts", "run", "findings", "export"])
     p.add_argument("--root", help="warehouse folder")
-    p.add_argument("--dir", help="folder of the CSV extract")
+    p.add_argument("--dir", help="folder of the CSV extract, or to export to")
     p.add_argument("--mapping", help="mapping YAML")
     p.add_argument("--config", help="settings YAML")
     p.add_argument("--calc-date", help="date the parameters are computed as of")
@@ -84,6 +84,8 @@ def main(argv=None) -> int:
         if not a.calc_date:
             p.error("run needs --calc-date")
         print(wh.run(a.calc_date, a.mode))
+    elif a.step == "export":
+        wh.export(a.dir, a.calc_date)
     else:
         _show(_reports(wh, a.calc_date))
     return 0

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
 from stockpolicy.functions.columns import date_col, date_lit, sd_from_sums, week_start
-from stockpolicy.schemas import DAYS, MEAN_DAYS, SERIES, SHARE
+from stockpolicy.schemas import DAYS, MEAN_DAYS, QUANTITY, SERIES, SHARE
 
 
 def weeks_from(first: Column | str, last: Column | str) -> Column:
@@ -149,7 +149,7 @@ def fct_demand_weekly(
     return kept.select(
         *SERIES,
         F.col("week").alias("purchase_week"),
-        F.coalesce(F.when(sold, F.col("units")), zero).cast("decimal(28,4)").alias("units"),
+        F.coalesce(F.when(sold, F.col("units")), zero).cast(QUANTITY).alias("units"),
         F.coalesce(F.when(sold, F.col("revenue")), zero).cast("decimal(38,8)").alias("revenue"),
     )
 

@@ -20,7 +20,8 @@ def cumulative_share(
     A window ordered over everything would put all rows into one task. Instead:
 
     1. range-partition on (by, value desc, ties): balanced ranges even when a
-       third of the rows carry the same value, because the ties differ;
+       third of the rows carry the same value, because the ties differ. Ranging
+       reads its input twice (sample, then shuffle), so it is cached meanwhile;
     2. keep that layout on shared storage, so both passes see the same ranges;
     3. sum per range. This table has one row per range and `by` group, whatever
        the input size, so its running total is small and safe to broadcast;
@@ -35,11 +36,13 @@ def cumulative_share(
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc(value), *ties]
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
-    ranged = durable(
-        df.withColumn("_amount", amount)
-        .repartitionByRange(n, *by, *order)
-        .withColumn("_range", F.spark_partition_id())
-    )
+    source = df.withColumn("_amount", amount).persist()
+    try:
+        ranged = durable(
+            source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id())
+        )
+    finally:
+        source.unpersist()
     groups = Window.partitionBy(*by)
     earlier = groups.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -19,7 +19,7 @@ from stockpolicy.operators.marts import (
 )
 from stockpolicy.operators.policy import freshness_columns, policy_columns
 from stockpolicy.operators.stats import aggregate_window, finish_window
-from stockpolicy.schemas import SERIES
+from stockpolicy.schemas import QUANTITY, SERIES
 
 DATED = ["calc_date", *SERIES]
 
@@ -109,7 +109,7 @@ def _demand_as_of(sales: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> D
         *SERIES,
         F.col("week").alias("purchase_week"),
         sold.alias("sold"),
-        F.coalesce(F.when(sold, F.col("units")), zero).cast("decimal(28,4)").alias("units"),
+        F.coalesce(F.when(sold, F.col("units")), zero).cast(QUANTITY).alias("units"),
         F.coalesce(F.when(sold, F.col("revenue")), zero).cast("decimal(38,8)").alias("revenue"),
         "next_week",
         "active_weeks",

@@ -99,24 +99,19 @@ def series_grain(
 ) -> DataFrame:
     """Series with enough distinct active weeks, over all orders, whatever their status.
 
-    Repeats of a product, supplier and week are folded away before the product
-    join, so a hot product reaches it as at most one row per supplier and week.
+    Weeks are made distinct by a first aggregation, map-side, so that no task
+    holds the weeks of a hot series as a set.
     """
     week = week_start(to_timestamp("ordered_at").cast("date"))
-    active = (
-        raw_lines.select("order_id", "product_id", "supplier_id")
-        .join(raw_orders.select("order_id", week.alias("week")), "order_id", "inner")
-        .filter(F.col("week").isNotNull() & F.col("supplier_id").isNotNull())
-        .select("product_id", "supplier_id", "week")
-        .distinct()
-    )
-    categorised = raw_products.filter(F.col("category").isNotNull()).select(
-        "product_id", "category"
-    )
+    dated = raw_orders.select("order_id", week.alias("week")).filter(F.col("week").isNotNull())
+    categorised = raw_products.filter(F.col("category").isNotNull())
     return (
-        active.join(categorised, "product_id", "inner")
-        .groupBy("category", "supplier_id", "week")
-        .agg(F.lit(1).alias("one"))
+        raw_lines.filter(F.col("supplier_id").isNotNull())
+        .select("order_id", "product_id", "supplier_id")
+        .join(dated, "order_id", "inner")
+        .join(categorised.select("product_id", "category"), "product_id", "inner")
+        .select("category", "supplier_id", "week")
+        .distinct()
         .groupBy("category", "supplier_id")
         .agg(F.count("*").alias("weeks"))
         .agg(F.count_if(F.col("weeks") >= cfg.min_weeks_history).alias("viable_series"))

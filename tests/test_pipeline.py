@@ -106,5 +106,9 @@ def test_command_line(spark, extract, mapping, warehouse, tmp_path, capsys):
     cli.main(["profile", "--root", warehouse.root, *args])
     cli.main(["run", "--root", warehouse.root, "--calc-date", str(CALC_DATE), *args])
     cli.main(["findings", "--root", warehouse.root, *args])
+    folder = scratch_path(spark, "export")
+    cli.main(["export", "--root", warehouse.root, "--dir", folder, *args])
+    assert spark.read.option("header", True).csv(f"{folder}/exclusions").count() == 4
+    assert spark.read.json(f"{folder}/review_tiles").count() == 1
     out = capsys.readouterr().out
     assert "=== lines per product ===" in out and "'computed': 22" in out and "=== ABC x XYZ ===" in out
