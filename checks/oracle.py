@@ -78,6 +78,10 @@ stg_items AS (
   FROM raw_lines),
 stg_sellers AS (SELECT supplier_id AS seller_id, city, region AS state FROM raw_suppliers)"""
 
+def filled(c: str, type_: str) -> str:
+    return f"CAST(coalesce({c}, 0) AS {type_}) AS {c}"
+
+
 MARTS = f"""
 facts AS (
   SELECT o.order_id, i.item_seq, i.product_id, p.category, i.seller_id, o.purchase_date, o.purchase_week,
@@ -88,20 +92,21 @@ facts AS (
 sales AS (
   SELECT category, seller_id, purchase_week, sum(qty) AS units, sum(price * qty) AS revenue
   FROM facts GROUP BY 1, 2, 3),
-series AS (
-  SELECT category, seller_id, min(purchase_week) AS first_week, max(purchase_week) AS last_week
-  FROM sales GROUP BY 1, 2
-  HAVING count(*) >= {CFG.min_weeks_history} AND sum(units) >= {CFG.min_units_history}),
+calendar AS (
+  SELECT CAST(unnest(generate_series(min(purchase_week), greatest(max(purchase_week), DATE '{CALC_DATE}'),
+                                     INTERVAL 7 DAY)) AS DATE) AS purchase_week FROM sales),
+extents AS (
+  SELECT category, seller_id, min(purchase_week) AS first_week, max(purchase_week) AS last_week,
+         count(*) AS sale_weeks, sum(units) AS sold
+  FROM sales GROUP BY ALL),
+modelled AS (
+  SELECT * FROM extents WHERE sale_weeks >= {CFG.min_weeks_history} AND sold >= {CFG.min_units_history}),
 spine AS (
-  SELECT category, seller_id,
-         CAST(unnest(generate_series(first_week, last_week, INTERVAL 7 DAY)) AS DATE) AS purchase_week
-  FROM series),
+  SELECT category, seller_id, purchase_week FROM calendar
+  JOIN modelled ON purchase_week BETWEEN first_week AND last_week),
 fct AS (
-  SELECT sp.category, sp.seller_id, sp.purchase_week,
-         CAST(coalesce(units, 0) AS DECIMAL(18,4)) AS units,
-         CAST(coalesce(revenue, 0) AS DECIMAL(38,8)) AS revenue
-  FROM spine sp LEFT JOIN sales sa ON sa.category = sp.category AND sa.seller_id = sp.seller_id
-   AND sa.purchase_week = sp.purchase_week)"""
+  SELECT category, seller_id, purchase_week, {filled("units", "DECIMAL(18,4)")}, {filled("revenue", "DECIMAL(38,8)")}
+  FROM spine LEFT JOIN sales USING (category, seller_id, purchase_week))"""
 
 
 def _duration_stats(source: str, keys: str) -> str:
@@ -139,19 +144,16 @@ def _dated_marts_as_of(days) -> str:
     return f"""
 dates AS (SELECT * FROM (VALUES {_dates(days)}) v(calc_date)),
 sales_d AS (SELECT calc_date, sales.* FROM sales JOIN dates ON purchase_week <= calc_date),
-series_d AS (
+modelled_d AS (
   SELECT calc_date, category, seller_id, min(purchase_week) AS first_week, max(purchase_week) AS last_week
-  FROM sales_d GROUP BY 1, 2, 3
+  FROM sales_d GROUP BY ALL
   HAVING count(*) >= {CFG.min_weeks_history} AND sum(units) >= {CFG.min_units_history}),
-spine_d AS (
-  SELECT calc_date, category, seller_id,
-         CAST(unnest(generate_series(first_week, last_week, INTERVAL 7 DAY)) AS DATE) AS purchase_week
-  FROM series_d),
 fct_d AS (
-  SELECT sp.calc_date, sp.category, sp.seller_id, sp.purchase_week,
-         coalesce(units, 0) AS units, coalesce(revenue, 0) AS revenue
-  FROM spine_d sp LEFT JOIN sales_d sa ON sa.calc_date = sp.calc_date AND sa.category = sp.category
-   AND sa.seller_id = sp.seller_id AND sa.purchase_week = sp.purchase_week),
+  SELECT calc_date, category, seller_id, purchase_week, {filled("units", "DECIMAL(18,4)")},
+         {filled("revenue", "DECIMAL(38,8)")}
+  FROM (SELECT m.calc_date, category, seller_id, purchase_week FROM modelled_d m
+        JOIN calendar ON purchase_week BETWEEN first_week AND last_week)
+  LEFT JOIN sales_d USING (calc_date, category, seller_id, purchase_week)),
 facts_d AS (SELECT calc_date, facts.* FROM facts JOIN dates ON delivered_date <= calc_date),
 fulfil_d AS ({_duration_stats("facts_d", "calc_date, category, seller_id")})"""
 
@@ -163,6 +165,18 @@ STALE_WEEKS = CFG.activity_window_weeks
 
 def _params(cover: float = CFG.baseline_weeks_of_cover) -> str:
     weeks = CFG.demand_window_weeks
+    days = [f"{s}_{m}_days" for s in ("promised", "observed") for m in ("mean", "sd")]
+    stock = [f"{k}_{s}" for k in ("cycle", "ss", "rop") for s in ("promised", "observed")]
+    means = ", ".join(f"avg({c}) AS {c}" for c in days)
+    sums = ", ".join(f"sum({c}) AS {c}" for c in stock)
+    ranges = ", ".join(
+        f"{f} AS {name}_share"
+        for name, f in (
+            ("min", "min(supply_variance_share)"),
+            ("mid", "quantile_cont(supply_variance_share, 0.5)"),
+            ("max", "max(supply_variance_share)"),
+        )
+    )
     return f"""
 window_d AS (SELECT * FROM fct_d WHERE purchase_week > calc_date - {7 * weeks}),
 stats AS (
@@ -228,7 +242,20 @@ params AS (
               WHEN is_stale THEN 'stale: no sale within {STALE_WEEKS} weeks of calc_date' END
            AS exclusion_reason
   FROM stock),
-live AS (SELECT * FROM params WHERE is_publishable)"""
+live AS (SELECT * FROM params WHERE is_publishable),
+overall AS (
+  SELECT count(*) AS n, {means}, {sums}, {ranges},
+         avg(promised_mean_days / NULLIF(observed_mean_days, 0)) AS pad,
+         count_if(promised_mean_days > observed_mean_days) AS n_padded,
+         count_if(naive_total_cover < model_total_target) AS n_short,
+         count_if(supply_variance_share > 0.5) AS n_supply,
+         100 * (sum(rop_promised) / sum(rop_observed) - 1) AS overstated
+  FROM live),
+per_class AS (
+  SELECT abc, xyz, count(*) AS n, sum(naive_total_cover) AS naive, sum(model_total_target) AS model,
+         avg(supply_variance_share) AS supply, count_if(naive_total_cover < model_total_target) AS n_under,
+         count_if(naive_total_cover > model_total_target) AS n_over
+  FROM live GROUP BY ALL)"""
 
 
 def _with(*parts: str) -> str:
@@ -252,6 +279,11 @@ def big(*cols: str) -> str:
     return ", ".join(out)
 
 
+def rounded(digits: int, **names: str) -> str:
+    """Keys are expressions, values their names."""
+    return ", ".join(f"round({expr}, {digits}) AS {name}" for expr, name in names.items())
+
+
 def stamp(*cols: str) -> str:
     return ", ".join(f"strftime({c}, {FMT}) AS {c}" for c in cols)
 
@@ -460,29 +492,28 @@ FROM verdict"""
 SELECT order_id, item_seq, product_id, {key}, purchase_date, purchase_week, delivered_date,
        observed_fulfil_days, promised_fulfil_days, {num("price", "qty")} FROM facts"""
     q["weekly_sales"] = marts + f"SELECT {key}, purchase_week, {num('units', 'revenue')} FROM sales"
-    q["modelled_series"] = marts + f"SELECT {key}, first_week, last_week FROM series"
+    q["modelled_series"] = marts + f"SELECT {key}, first_week, last_week FROM modelled"
     q["calendar_spine"] = marts + f"SELECT {key}, purchase_week FROM spine"
     q["fct_demand_weekly"] = marts + f"SELECT {key}, purchase_week, {num('units', 'revenue')} FROM fct"
     q["fct_demand_to_calc_date"] = marts + f"""
-SELECT sp.category, sp.seller_id, sp.purchase_week,
-       {num("coalesce(units, 0) AS units", "coalesce(revenue, 0) AS revenue")}
-FROM (SELECT {key}, CAST(unnest(generate_series(first_week,
-             greatest(last_week, CAST(date_trunc('week', DATE '{CALC_DATE}') AS DATE)), INTERVAL 7 DAY)) AS DATE)
-             AS purchase_week FROM series) sp
-LEFT JOIN sales sa ON sa.category = sp.category AND sa.seller_id = sp.seller_id
- AND sa.purchase_week = sp.purchase_week"""
+SELECT {key}, purchase_week, {num("coalesce(units, 0) AS units", "coalesce(revenue, 0) AS revenue")}
+FROM (SELECT {key}, purchase_week FROM modelled JOIN calendar ON purchase_week >= first_week
+       AND purchase_week <= greatest(last_week, DATE '{CALC_DATE}'))
+LEFT JOIN sales USING (category, seller_id, purchase_week)"""
     q["fulfilment_stats"] = params + f"SELECT {key}, n_deliveries, {DURATIONS} FROM fulfil"
-    starts = CFG.period_starts
+    starts = " ".join(
+        f"WHEN purchase_date >= DATE '{d}' THEN DATE '{d}'" for d in reversed(CFG.period_starts)
+    )
     q["dim_seller"] = marts + f"""
-, periods AS (
-  SELECT seller_id, CASE WHEN purchase_date < DATE '{starts[1]}' THEN DATE '{starts[0]}'
-                         ELSE DATE '{starts[1]}' END AS valid_from,
-         CAST((200 * sum(observed_fulfil_days) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_fulfil_days
-  FROM stg_orders JOIN stg_items USING (order_id) GROUP BY 1, 2)
-SELECT seller_id, state, city, avg_fulfil_days, valid_from,
-       CAST(LEAD(valid_from) OVER v - 1 AS DATE) AS valid_to, LEAD(valid_from) OVER v IS NULL AS is_current
-FROM periods LEFT JOIN stg_sellers USING (seller_id)
-WINDOW v AS (PARTITION BY seller_id ORDER BY valid_from)"""
+, days AS (SELECT seller_id, CASE {starts} ELSE DATE '{CFG.period_starts[0]}' END AS since,
+                  observed_fulfil_days AS d FROM stg_orders JOIN stg_items USING (order_id)),
+spans AS (SELECT seller_id, since, CAST((200 * sum(d) + count(d)) // (2 * count(d)) AS DOUBLE) / 100 AS mean_days
+          FROM days GROUP BY ALL),
+ends AS (SELECT a.seller_id, a.since, min(b.since) AS next_since FROM spans a
+         LEFT JOIN spans b ON a.seller_id = b.seller_id AND b.since > a.since GROUP BY ALL)
+SELECT seller_id, state, city, mean_days AS avg_fulfil_days, since AS valid_from,
+       CAST(next_since - 1 AS DATE) AS valid_to, next_since IS NULL AS is_current
+FROM spans JOIN ends USING (seller_id, since) LEFT JOIN stg_sellers USING (seller_id)"""
 
     # Series statistics
     q["trailing_demand"] = marts + (
@@ -574,68 +605,57 @@ SELECT "check", {num("value", "threshold")}, passed FROM g"""
     q["finding_population"] = params + f"""
 SELECT status, n, {half_up_pct("n", "CAST(sum(n) OVER () AS BIGINT)", 1)} AS pct
 FROM (SELECT coalesce(exclusion_reason, 'PUBLISHED') AS status, count(*) AS n FROM params GROUP BY 1)"""
-    q["finding_duration_gap"] = params + """
-SELECT round(avg(promised_mean_days), 1) AS promised_mean_d, round(avg(observed_mean_days), 1) AS observed_mean_d,
-       round(avg(promised_sd_days), 2) AS promised_sd_d, round(avg(observed_sd_days), 2) AS observed_sd_d,
-       round(avg(promised_mean_days / NULLIF(observed_mean_days, 0)), 2) AS pad_ratio,
-       count(*) FILTER (WHERE promised_mean_days > observed_mean_days) AS series_padded, count(*) AS series
-FROM live"""
-    q["finding_inventory_position"] = params + """
-SELECT round(sum(cycle_promised)) AS cycle_promised, round(sum(cycle_observed)) AS cycle_observed,
-       round(sum(ss_promised)) AS ss_promised, round(sum(ss_observed)) AS ss_observed,
-       round(sum(cycle_promised + ss_promised)) AS total_promised,
-       round(sum(cycle_observed + ss_observed)) AS total_observed,
-       round(100.0 * (sum(cycle_promised + ss_promised) / sum(cycle_observed + ss_observed) - 1), 1) AS pct_overstated
-FROM live"""
-    q["finding_variance_drivers"] = params + """
-SELECT round(quantile_cont(supply_variance_share, 0.5) * 100, 1) AS median_pct_supply,
-       round(min(supply_variance_share) * 100, 1) AS min_pct, round(max(supply_variance_share) * 100, 1) AS max_pct,
-       count(*) FILTER (WHERE supply_variance_share > 0.5) AS majority_supply_driven, count(*) AS series
-FROM live"""
-    q["finding_flat_rule_gap"] = params + """
-SELECT abc, count(*) AS series, round(sum(naive_total_cover)) AS naive_total,
-       round(sum(model_total_target)) AS model_total,
-       round(100.0 * (sum(naive_total_cover) / sum(model_total_target) - 1), 1) AS gap_pct,
-       count(*) FILTER (WHERE naive_total_cover < model_total_target) AS under,
-       count(*) FILTER (WHERE naive_total_cover > model_total_target) AS over
-FROM live GROUP BY 1"""
-    q["finding_abc_xyz_grid"] = params + """
-SELECT abc, count(*) FILTER (WHERE xyz = 'X') AS x, count(*) FILTER (WHERE xyz = 'Y') AS y,
-       count(*) FILTER (WHERE xyz = 'Z') AS z, count(*) AS total FROM live GROUP BY 1"""
-    q["finding_freshness"] = params + """
-SELECT round(max(weeks_since_last_sale), 1) AS oldest_weeks_since_sale,
-       round(avg(weeks_since_last_sale), 1) AS avg_weeks_since_sale FROM live"""
+    q["finding_duration_gap"] = params + f"""
+SELECT {rounded(1, promised_mean_days="promised_mean_d", observed_mean_days="observed_mean_d")},
+       {rounded(2, promised_sd_days="promised_sd_d", observed_sd_days="observed_sd_d", pad="pad_ratio")},
+       n_padded AS series_padded, n AS series FROM overall"""
+    stock = {f"{k}_{s}": f"{k}_{s}" for k in ("cycle", "ss") for s in ("promised", "observed")}
+    q["finding_inventory_position"] = params + f"""
+SELECT {rounded(0, **stock, rop_promised="total_promised", rop_observed="total_observed")},
+       {rounded(1, overstated="pct_overstated")} FROM overall"""
+    shares = {"mid_share * 100": "median_pct_supply", "min_share * 100": "min_pct", "max_share * 100": "max_pct"}
+    q["finding_variance_drivers"] = params + (
+        f"SELECT {rounded(1, **shares)}, n_supply AS majority_supply_driven, n AS series FROM overall"
+    )
+    gap = {"(sum(naive) / sum(model) - 1) * 100": "gap_pct"}
+    q["finding_flat_rule_gap"] = params + f"""
+SELECT abc, {big("sum(n) AS series", "sum(n_under) AS under", "sum(n_over) AS over")}, {rounded(1, **gap)},
+       {rounded(0, **{"sum(naive)": "naive_total", "sum(model)": "model_total"})} FROM per_class GROUP BY abc"""
+    cells = ", ".join(f"coalesce(sum(n) FILTER (xyz = '{c}'), 0) AS {c.lower()}" for c in "XYZ")
+    q["finding_abc_xyz_grid"] = params + (
+        f"SELECT abc, {big('x', 'y', 'z', 'total')} FROM"
+        f" (SELECT abc, {cells}, sum(n) AS total FROM per_class GROUP BY abc)"
+    )
+    since = {"max(weeks_since_last_sale)": "oldest_weeks_since_sale", "avg(weeks_since_last_sale)": "avg_weeks_since_sale"}
+    q["finding_freshness"] = params + f"SELECT {rounded(1, **since)} FROM live"
     q["finding_least_consistent"] = params + "," + _least_consistent(8) + f"""
 SELECT left(seller_id, 8) AS seller, category, abc, {num("observed_mean_days AS mean_d", "observed_sd_days AS sd_d")},
        CAST(round(CAST(pct_late AS DECIMAL(6,4)) * 100, 0) AS DOUBLE) AS pct_late, round(model_total_target, 0) AS target_units FROM top"""
+    # The sd without the largest week follows from sums, without ranking.
     q["finding_outlier_sensitivity"] = params + f"""
-, r AS (SELECT {key}, CAST(units AS DOUBLE) AS units,
-               ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY units DESC, purchase_week) AS rn FROM fct),
-s AS (SELECT {key}, stddev_samp(units) AS sd_all, stddev_samp(units) FILTER (WHERE rn > 1) AS sd_ex
-      FROM r GROUP BY 1, 2)
-SELECT round(avg(100.0 * (1 - sd_ex / NULLIF(sd_all, 0))), 1) AS pct_of_sigma_from_single_week
-FROM s JOIN live USING (category, seller_id)"""
+, sums AS (SELECT {key}, count(*) AS n, sum(u) AS s, sum(u * u) AS ss, max(u) AS top
+           FROM (SELECT {key}, CAST(units AS DOUBLE) AS u FROM fct) GROUP BY ALL),
+sds AS (SELECT {key}, sqrt((n * ss - s * s) / (n * (n - 1))) AS sd_all,
+               CASE WHEN n > 2 THEN sqrt(greatest((n - 1) * (ss - top * top) - (s - top) * (s - top), 0)
+                                         / ((n - 1) * (n - 2))) END AS sd_rest FROM sums WHERE n > 1)
+SELECT {rounded(1, **{"avg((1 - sd_rest / NULLIF(sd_all, 0)) * 100)": "pct_of_sigma_from_single_week"})}
+FROM sds JOIN live USING (category, seller_id)"""
     q["ranked_weeks"] = marts + f"""
 SELECT {key}, purchase_week, {num("units")},
        CAST(ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY units DESC, purchase_week) AS INTEGER) AS rn FROM fct"""
-    q["review_grid"] = params + """
-, grid AS (SELECT abc, xyz, count(*) AS series, sum(model_total_target) AS required,
-                  sum(naive_total_cover) AS naive, avg(supply_variance_share) AS supply_share
-           FROM live GROUP BY 1, 2)
-SELECT abc, xyz, series, round(required, 1) AS required, round(naive, 1) AS naive,
-       round(supply_share, 3) AS supply_share, round((naive / required - 1) * 100, 1) AS gap_pct,
-       round(required / max(greatest(required, naive)) OVER () * 100, 1) AS required_bar,
-       round(naive / max(greatest(required, naive)) OVER () * 100, 1) AS naive_bar FROM grid"""
+    q["review_grid"] = params + f"""
+, scale AS (SELECT greatest(max(model), max(naive)) AS top FROM per_class)
+SELECT abc, xyz, n AS series, {rounded(3, supply="supply_share")},
+       {rounded(1, **{"model": "required", "naive": "naive", "(naive / model - 1) * 100": "gap_pct",
+                      "model / top * 100": "required_bar", "naive / top * 100": "naive_bar"})}
+FROM per_class, scale"""
     q["review_worst"] = params + "," + _least_consistent(10) + f"""
 SELECT left(seller_id, 8) AS seller, replace(category, '_', ' ') AS category, abc,
        {num("observed_mean_days AS mean", "observed_sd_days AS sd")},
        CAST(round(CAST(pct_late AS DECIMAL(6,4)) * 100, 0) AS DOUBLE) AS late, round(model_total_target, 0) AS ss FROM top"""
-    q["review_tiles"] = params + """
-SELECT round(avg(promised_mean_days / NULLIF(observed_mean_days, 0)), 2) AS pad_ratio,
-       round(avg(promised_mean_days), 1) AS promised_mean_d, round(avg(observed_mean_days), 1) AS observed_mean_d,
-       round(100.0 * (sum(cycle_promised + ss_promised) / sum(cycle_observed + ss_observed) - 1), 1) AS pct_overstated,
-       count(*) FILTER (WHERE naive_total_cover < model_total_target) AS short_series, count(*) AS series,
-       round(quantile_cont(supply_variance_share, 0.5) * 100, 1) AS median_pct_supply,
-       round(min(supply_variance_share) * 100, 0) AS min_pct, round(max(supply_variance_share) * 100, 0) AS max_pct
-FROM live"""
+    q["review_tiles"] = params + f"""
+SELECT {rounded(2, pad="pad_ratio")}, n_short AS short_series, n AS series,
+       {rounded(1, promised_mean_days="promised_mean_d", observed_mean_days="observed_mean_d",
+                overstated="pct_overstated", **{"mid_share * 100": "median_pct_supply"})},
+       {rounded(0, **{"min_share * 100": "min_pct", "max_share * 100": "max_pct"})} FROM overall"""
     return q
