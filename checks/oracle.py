@@ -246,15 +246,15 @@ live AS (SELECT * FROM params WHERE is_publishable),
 overall AS (
   SELECT count(*) AS n, {means}, {sums}, {ranges},
          avg(promised_mean_days / NULLIF(observed_mean_days, 0)) AS pad,
-         count_if(promised_mean_days > observed_mean_days) AS n_padded,
-         count_if(naive_total_cover < model_total_target) AS n_short,
-         count_if(supply_variance_share > 0.5) AS n_supply,
+         count(*) FILTER (promised_mean_days > observed_mean_days) AS n_padded,
+         count(*) FILTER (naive_total_cover < model_total_target) AS n_short,
+         count(*) FILTER (supply_variance_share > 0.5) AS n_supply,
          100 * (sum(rop_promised) / sum(rop_observed) - 1) AS overstated
   FROM live),
 per_class AS (
   SELECT abc, xyz, count(*) AS n, sum(naive_total_cover) AS naive, sum(model_total_target) AS model,
-         avg(supply_variance_share) AS supply, count_if(naive_total_cover < model_total_target) AS n_under,
-         count_if(naive_total_cover > model_total_target) AS n_over
+         avg(supply_variance_share) AS supply, count(*) FILTER (naive_total_cover < model_total_target) AS n_under,
+         count(*) FILTER (naive_total_cover > model_total_target) AS n_over
   FROM live GROUP BY ALL)"""
 
 
