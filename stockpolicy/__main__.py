@@ -1,4 +1,4 @@
-"""Command line: python -m stockpolicy check|load|profile|marts|run|findings|export."""
+"""Command line: python -m stockpolicy check|load|profile|marts|run|backfill|findings|export."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from stockpolicy.config import Mapping, PolicyConfig
 from stockpolicy.plans import findings, profile, readiness
-from stockpolicy.plans.pipeline import Warehouse
+from stockpolicy.plans.warehouse import Warehouse
 
 
 def _reports(wh: Warehouse, calc_date: str | None) -> dict:
@@ -47,12 +47,14 @@ def _show(reports: dict) -> None:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="stockpolicy")
-    p.add_argument("step", choices=["check", "load", "profile", "marts", "run", "findings", "export"])
+    p.add_argument("step", choices=["check", "load", "profile", "marts", "run", "backfill", "findings", "export"])
     p.add_argument("--root", help="warehouse folder")
     p.add_argument("--dir", help="folder of the CSV extract, or to export to")
     p.add_argument("--mapping", help="mapping YAML")
     p.add_argument("--config", help="settings YAML")
     p.add_argument("--calc-date", help="date the parameters are computed as of")
+    p.add_argument("--dates", nargs="+", help="dates to backfill")
+    p.add_argument("--as-of", action="store_true", help="each date sees only what was known by then")
     p.add_argument("--mode", default="replace", choices=["replace", "upsert"])
     p.add_argument("--no-multiline", action="store_true", help="no line breaks inside values")
     a = p.parse_args(argv)
@@ -84,6 +86,10 @@ def main(argv=None) -> int:
         if not a.calc_date:
             p.error("run needs --calc-date")
         print(wh.run(a.calc_date, a.mode))
+    elif a.step == "backfill":
+        if not a.dates:
+            p.error("backfill needs --dates")
+        wh.backfill(a.dates, a.as_of)
     elif a.step == "export":
         wh.export(a.dir, a.calc_date)
     else:

@@ -17,6 +17,7 @@ from stockpolicy.operators import staging as S
 from stockpolicy.operators.gates import enforce, run_gates
 from stockpolicy.operators.policy import params_from_marts, require_nonempty, run_summary
 from stockpolicy.plans.findings import review_grid, review_tiles, review_worst
+from stockpolicy.plans.history import params_history, params_history_as_of
 from stockpolicy.schemas import SECTIONS
 from stockpolicy.sources.extracts import assert_counts, load_raw, path_exists, raw_row_counts
 from stockpolicy.sources.layers import read_fact, write_fact, write_layer, write_small
@@ -137,6 +138,30 @@ class Warehouse:
             params.unpersist()
         return summary
 
+    def backfill(self, dates, as_of: bool = False) -> None:
+        """Computes, checks and publishes many dates in one go, replacing their snapshots.
+
+        With `as_of` each date sees only what was known by then. The gates look
+        at all dates together; the row-count gate needs a single date and is
+        left to `run`.
+        """
+        if as_of:
+            staging = self.staging()
+            facts = M.order_line_facts(
+                staging["orders"], staging["order_items"], staging["products"]
+            )
+            params = params_history_as_of(facts, dates, self.cfg)
+        else:
+            latest = max(str(d) for d in dates)
+            params = params_history(self.demand(last=latest), self.fulfilment(), dates, self.cfg)
+        params = params.persist()
+        try:
+            require_nonempty(params)
+            enforce(run_gates(params, None, self.cfg))
+            publish_replace(to_published(params), self.snapshots_path)
+        finally:
+            params.unpersist()
+
     def export(self, directory: str, calc_date: dt.date | str | None = None) -> None:
         """The exclusion audit as CSV and the review datasets as JSON, one small file each."""
         params = self.snapshots()

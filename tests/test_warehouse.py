@@ -12,7 +12,7 @@ from stockpolicy.config import Mapping
 from stockpolicy.functions.session import scratch_path
 from stockpolicy.operators.gates import DataQualityError
 from stockpolicy.plans import findings
-from stockpolicy.plans.pipeline import Warehouse
+from stockpolicy.plans.warehouse import Warehouse
 from stockpolicy.sources.layers import write_layer
 
 NAMES = FOREIGN | {
@@ -82,6 +82,22 @@ def test_a_failed_gate_publishes_nothing(warehouse, tables):
     assert warehouse.snapshots().count() == before
 
 
+@pytest.mark.parametrize("as_of", [False, True])
+def test_backfill(warehouse, tables, as_of):
+    from stockpolicy.plans import history
+    from stockpolicy.sources.snapshots import to_published
+
+    wh = Warehouse(warehouse.spark, scratch_path(warehouse.spark, "warehouse"), CFG)
+    wh.staging, wh.demand, wh.fulfilment = warehouse.staging, warehouse.demand, warehouse.fulfilment
+    dates = ["2000-12-31", CALC_DATE]
+    for _ in range(2):
+        wh.backfill(dates, as_of)
+    want = history.params_history_as_of(tables.facts, dates, CFG) if as_of else tables.history(dates)
+    want, stored = comparable(to_published(want)), comparable(wh.snapshots())
+    assert stored.exceptAll(want).isEmpty() and want.exceptAll(stored).isEmpty()
+    assert stored.select("calc_date").distinct().count() == 2
+
+
 def test_nothing_to_publish(warehouse):
     with pytest.raises(ValueError, match="empty source data"):
         warehouse.run("1990-01-01")
