@@ -1,8 +1,8 @@
 """The same queries as plain SQL, independent of the Spark plans.
 
 All texts share one WITH prefix: fixture -> staging -> marts -> parameters.
-Numbers are compared as doubles rounded to six places; rounded decimals of the
-reference semantics use exact integer arithmetic here.
+Numbers are compared as doubles rounded to six places; statistics that are
+defined with fewer places are rounded by exact integer arithmetic here.
 """
 
 from __future__ import annotations

@@ -45,3 +45,25 @@ def test_plans_stay_distributed_and_in_the_jvm(spark, name):
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     # Only the few range offsets of the running total may meet in one partition.
     assert plan.count("SinglePartition") == (1 if name == "buffer_params" else 0)
+
+
+@pytest.mark.parametrize(
+    "sf, kept, excluded, modelled, dense, durations, population",
+    [
+        ("0.001", 431, [8, 13, 42, 1007], 26, 7850, 25, [1, 21]),
+        ("0.01", 4422, [55, 134, 345, 10067], 68, 21186, 68, [4, 5, 24, 34]),
+        ("0.1", 44638, [490, 1331, 3678, 100290], 223, 70271, 223, [5, 6, 50, 160]),
+    ],
+)
+def test_fixture_anchors(sf, kept, excluded, modelled, dense, durations, population):
+    con = connect(f"/root/testdata/sf{sf}")
+
+    def rows(name):
+        return con.execute(ORACLE[name]).fetchall()
+
+    assert len(rows("staging_orders")) == kept
+    assert sorted(r[2] for r in rows("exclusions")) == excluded
+    assert len(rows("modelled_series")) == modelled
+    assert len(rows("fct_demand_weekly")) == dense
+    assert len(rows("fulfilment_stats")) == durations
+    assert sorted(r[1] for r in rows("finding_population")) == population
