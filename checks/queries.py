@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, RawTables
+from checks.workspace import ensure_workspace
 from stockpolicy.config import Mapping, SourceSpec
-from stockpolicy.functions.session import durable, scratch_path
+from stockpolicy.functions.session import scratch_path, stored
 from stockpolicy.operators import gates, marts, policy, segment, staging, stats
 from stockpolicy.plans import findings, history, profile, readiness
 from stockpolicy.schemas import SERIES
@@ -87,7 +88,7 @@ class Tables:
     @cached_property
     def stored(self) -> DataFrame:
         """The rollup as a stored mart: demand and durations both build on it."""
-        return durable(self.rollup)
+        return stored(self.rollup, "rollup")
 
     @cached_property
     def fct(self) -> DataFrame:
@@ -310,7 +311,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _bind(run: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: comparable(run(Tables(spark, sf_dir)))
+    return lambda spark, sf_dir: comparable(run(Tables(ensure_workspace(spark), sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

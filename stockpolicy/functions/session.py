@@ -1,19 +1,21 @@
-"""Shared-storage helpers: where durable intermediate data goes."""
+"""Shared-storage helpers: where durable intermediate data goes, and its removal."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_left: dict[str, SparkSession] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The folder every executor can reach, from `spark.checkpoint.dir`.
 
-    Read from the session. Only a local master, where one machine holds
-    everything, may fall back to a temporary folder; a cluster without the
-    setting is an error.
+    A folder given to `SparkContext.setCheckpointDir` counts as well. With
+    neither set this is an error: a machine-local default would fail on a
+    cluster, late and confusingly.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -23,23 +25,39 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockpolicy-"))
-        current = sc.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return current.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise on shared storage, cutting lineage. Runs a job.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name on shared storage; the folder goes when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _left[path] = spark
+    return path
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write to a scratch folder as Parquet and read it back. Runs a job.
 
-    Used where later steps must see the very same rows even if executors are
-    lost, which a cache would not guarantee.
+    Later steps see the very same rows even if executors are lost, which a
+    cache would not guarantee, and read only the columns they use, which a
+    checkpoint would not allow.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name on shared storage."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def remove_scratch() -> None:
+    """Delete the scratch folders of this program. Frames that read them stop working."""
+    for path, spark in list(_left.items()):
+        _left.pop(path)
+        try:
+            jvm = spark._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session is gone; its folder is left to the cluster's clean-up
+            continue
+
+
+atexit.register(remove_scratch)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
-from stockpolicy.functions.session import durable
+from stockpolicy.functions.session import stored
 from stockpolicy.schemas import SERIES
 
 AMOUNT = "decimal(28,6)"
@@ -38,8 +38,9 @@ def cumulative_share(
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
     source = df.withColumn("_amount", amount).persist()
     try:
-        ranged = durable(
-            source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id())
+        ranged = stored(
+            source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id()),
+            "ranges",
         )
     finally:
         source.unpersist()

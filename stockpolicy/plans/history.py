@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
 from stockpolicy.functions.columns import date_lit
-from stockpolicy.functions.session import durable
+from stockpolicy.functions.session import stored
 from stockpolicy.operators.marts import (
     DAY_SUMS,
     duration_stats,
@@ -152,7 +152,7 @@ def _known_rollup(facts: DataFrame, days: list[dt.date]) -> DataFrame:
     dated = facts.withColumn("known_day", F.greatest("delivered_date", first)).join(
         _small(calendar, span), "known_day", "left"
     )
-    return durable(weekly_rollup(dated, "known_at"))
+    return stored(weekly_rollup(dated, "known_at"), "known")
 
 
 def _fulfilment_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:

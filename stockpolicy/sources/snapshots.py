@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpolicy.functions.columns import date_col, date_lit
-from stockpolicy.functions.session import durable
+from stockpolicy.functions.session import stored
 from stockpolicy.schemas import PUBLISHED, PUBLISHED_KEY
 from stockpolicy.sources.extracts import path_exists
 
@@ -84,9 +84,9 @@ def publish_upsert(published: DataFrame, path: str, calc_date: dt.date | str) ->
     if published.filter(F.col("calc_date") != date_lit(calc_date)).take(1):
         raise ValueError(f"rows of another date than {calc_date}")
     if snapshot_exists(spark, path):
-        stored = read_snapshots(spark, path).filter(F.col("calc_date") == date_lit(calc_date))
-        kept = stored.join(published.select(*PUBLISHED_KEY), PUBLISHED_KEY, "left_anti")
-        published = published.unionByName(durable(kept))
+        existing = read_snapshots(spark, path).filter(F.col("calc_date") == date_lit(calc_date))
+        kept = existing.join(published.select(*PUBLISHED_KEY), PUBLISHED_KEY, "left_anti")
+        published = published.unionByName(stored(kept, "kept"))
     _write(published, path)
 
 
