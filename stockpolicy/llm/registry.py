@@ -8,13 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.workspace import ensure_workspace
-from stockpolicy.llm import mixing, near_dedup, packing, quality_rules, secret_scan
+from stockpolicy.llm import (
+    fingerprints,
+    html_extract,
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ensure_workspace(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = quality_classifier.train(docs, quality_classifier.graded(labels))
+    return quality_classifier.score(docs, model)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +39,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +57,15 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint, "component_id")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -44,10 +73,19 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op2_quality_rules, op4_secret_scan, op6_packing, op7_mixing, op8_near_dedup, pipeline)
-    }
+    own = (
+        op1_quality_classifier,
+        op2_quality_rules,
+        op4_secret_scan,
+        op5_fingerprints,
+        op6_packing,
+        op7_mixing,
+        op8_near_dedup,
+        op9_html_extract,
+        op10_toxicity,
+        pipeline,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
