@@ -17,6 +17,7 @@ from stockpolicy.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    substring_dedup,
     toxicity,
 )
 
@@ -35,6 +36,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_quality_classifier,
         op2_quality_rules,
+        op3_substring_dedup,
         op4_secret_scan,
         op5_fingerprints,
         op6_packing,
