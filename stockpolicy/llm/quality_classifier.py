@@ -91,7 +91,7 @@ def flat(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndar
     return np.concatenate([p for p, _ in rows]), np.concatenate([v for _, v in rows]), np.repeat(np.arange(len(rows)), sizes)
 
 
-def fit(place: np.ndarray, value: np.ndarray, of: np.ndarray, grades: np.ndarray, n_grades: int, epochs: int = 60, rate: float = 0.3, decay: float = 1e-4) -> Model:
+def fit(place: np.ndarray, value: np.ndarray, of: np.ndarray, grades: np.ndarray, n_grades: int, epochs: int = 200, rate: float = 0.3, decay: float = 1e-3) -> Model:
     """Full-batch adaptive gradient on the ordinal log-likelihood; arguments as from `flat`.
 
     The gaps between limits are exponentials, so the limits stay in order. Without rows

@@ -127,15 +127,16 @@ def label_model(votes: np.ndarray, sure: np.ndarray, prior: float, rounds: int =
     """Posterior P(toxic) of each row, and each voter's accuracy.
 
     votes: rows x voters of -1, 0, 1; sure: votes of the voter to start from, counted in votes as
-    well. Each voter has a table P(vote | label), fitted by expectation maximisation. Then the votes' correlations given
-    the label are estimated; a voter that goes with others counts for its share only, and
-    the fit is repeated.
+    well. Each voter has a table P(vote | label), fitted by expectation maximisation. Then the
+    votes' correlations given the label are estimated; a voter that goes with others
+    counts for its share only, and the fit is repeated. Near copies of one voter, which
+    no label explains (a correlation of 0.8 and more), share from the start.
     """
     n, m = votes.shape
     balance = votes.sum(1)
     posterior = np.where(balance > 0, 0.9, np.where(balance < 0, 0.02, prior))
     posterior = np.where(sure > 0, 0.97, np.where(sure < 0, 0.03, posterior))
-    share = np.ones(m)
+    share = 1 / (1 + _together(votes.astype(np.float32) - votes.mean(0), 0.8).sum(1))
     shown = [(votes == v).astype(np.float32) for v in (-1, 0, 1)]
     for stage in range(2):
         for _ in range(rounds):
@@ -152,16 +153,21 @@ def label_model(votes: np.ndarray, sure: np.ndarray, prior: float, rounds: int =
             mean1 = posterior @ fired / max(posterior.sum(), 1e-6)
             mean0 = (1 - posterior) @ fired / max((1 - posterior).sum(), 1e-6)
             rest = fired - posterior[:, None] * mean1 - (1 - posterior)[:, None] * mean0
-            rest /= np.sqrt((rest**2).sum(0)) + 1e-9
-            together = np.clip(rest.T @ rest, 0, 1)
-            together[together < 0.1] = 0
-            np.fill_diagonal(together, 0)
-            share = 1 / (1 + together.sum(1))
+            share = 1 / (1 + _together(rest, 0.1).sum(1))
     positive = shown[2].T @ posterior + 0.5
     accuracy = positive / (shown[2].sum(0) + 1)
     return posterior, accuracy
 
 
+def _together(rest: np.ndarray, least: float) -> np.ndarray:
+    """Correlations between columns that are at least that high, others and a column's own zero."""
+    rest = rest / (np.sqrt((rest**2).sum(0)) + 1e-9)
+    found = np.clip(rest.T @ rest, 0, 1)
+    found[found < least] = 0
+    np.fill_diagonal(found, 0)
+    return found
+
+
 def linear(terms: Terms, target: np.ndarray, chosen: list[str], epochs: int = 150) -> tuple[dict[str, float], float]:
     """Logistic regression on posterior labels: adaptive gradient, shrunk weights."""
     row, col, counts = terms.hits(chosen)
@@ -237,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = Sample(coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts, at)
     votes = got["patterns"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     labels = got["y"].fill_null(-1).to_numpy()
-    return fit(sample, votes.reshape(len(labels), -1).astype(np.int8), labels)
+    return fit(sample, votes.reshape(len(labels), len(patterns(""))).astype(np.int8), labels)
 
 
 def probability(model: Model, text: str, known: dict[str, tuple] | None = None) -> float:
