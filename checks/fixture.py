@@ -39,13 +39,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deals rows out to all cores when the scan has fewer splits than cores.
-
-    A table of many files is left as it is; one file with one row group would
-    otherwise be typed and joined by a single task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Deals rows out to all cores: one file with one row group is read by a single task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _plus_days(ts: Column, days: Column) -> Column:
@@ -62,6 +57,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         _plus_days(ordered, F.lit(0)).alias("ordered_at"),
         F.when(key % 97 == 0, F.lit(None))
         .when(key % 499 == 0, "not-a-date")
+        .when(key % 503 == 0, "2001")
+        .when(key % 509 == 0, "2001-3")
+        .when(key % 521 == 0, " 2001-01-02 ")
         .otherwise(_plus_days(ordered, took))
         .alias("received_at"),
         _plus_days(ordered, quoted).alias("promised_at"),
@@ -109,10 +107,13 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some products are listed twice."""
+    twice = F.when(F.col("p_partkey") % 61 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.when(F.col("p_partkey") % 50 != 0, F.col("p_type")).alias("category"),
-    )
+        F.explode(twice).alias("copy"),
+    ).drop("copy")
 
 
 def raw_category_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

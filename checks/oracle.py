@@ -8,7 +8,9 @@ defined with fewer places are rounded by exact integer arithmetic here.
 from __future__ import annotations
 
 from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, STOPPED_FROM
-from stockpolicy.functions.columns import z_value
+
+# Standard normal quantiles.
+Z_VALUES = {0.90: 1.2815515655446004, 0.95: 1.6448536269514722, 0.98: 2.0537489106318225}
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -21,6 +23,7 @@ fx AS (
 raw_orders AS (
   SELECT CAST(k AS VARCHAR) AS order_id, status, strftime(d, {FMT}) AS ordered_at,
          CASE WHEN k % 97 = 0 THEN NULL WHEN k % 499 = 0 THEN 'not-a-date'
+              WHEN k % 503 = 0 THEN '2001' WHEN k % 509 = 0 THEN '2001-3' WHEN k % 521 = 0 THEN ' 2001-01-02 '
               ELSE strftime(d + to_days(h), {FMT}) END AS received_at,
          strftime(d + to_days(p), {FMT}) AS promised_at,
          CASE WHEN k % 5 = 0 THEN NULL WHEN k % 89 = 0 THEN strftime(d + to_days(h + 3), {FMT})
@@ -40,7 +43,8 @@ raw_lines AS (
   JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 raw_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
-         CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_type END AS category FROM part),
+         CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_type END AS category
+  FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 61 = 0)),
 raw_labels AS (
   SELECT DISTINCT p_type AS category,
          CASE WHEN p_type = 'LARGE' THEN '' ELSE lower(p_type) || '_goods' END AS label
@@ -140,10 +144,14 @@ fulfil_d AS (SELECT calc_date, fulfil.* FROM fulfil, dates)"""
 
 
 def _dated_marts_as_of(days) -> str:
-    """The marts rebuilt for each date from what was known by then."""
+    """The marts rebuilt for each date from the lines bought and received by it."""
     return f"""
 dates AS (SELECT * FROM (VALUES {_dates(days)}) v(calc_date)),
-sales_d AS (SELECT calc_date, sales.* FROM sales JOIN dates ON purchase_week <= calc_date),
+facts_d AS (SELECT calc_date, facts.* FROM facts
+  JOIN dates ON delivered_date <= calc_date AND purchase_date <= calc_date),
+sales_d AS (
+  SELECT calc_date, category, seller_id, purchase_week, sum(qty) AS units, sum(price * qty) AS revenue
+  FROM facts_d GROUP BY 1, 2, 3, 4),
 modelled_d AS (
   SELECT calc_date, category, seller_id, min(purchase_week) AS first_week, max(purchase_week) AS last_week
   FROM sales_d GROUP BY ALL
@@ -154,11 +162,10 @@ fct_d AS (
   FROM (SELECT m.calc_date, category, seller_id, purchase_week FROM modelled_d m
         JOIN calendar ON purchase_week BETWEEN first_week AND last_week)
   LEFT JOIN sales_d USING (calc_date, category, seller_id, purchase_week)),
-facts_d AS (SELECT calc_date, facts.* FROM facts JOIN dates ON delivered_date <= calc_date),
 fulfil_d AS ({_duration_stats("facts_d", "calc_date, category, seller_id")})"""
 
 
-Z = " ".join(f"WHEN {level} THEN {z_value(level)!r}" for level in CFG.service_levels.values())
+Z = " ".join(f"WHEN {level} THEN {Z_VALUES[level]!r}" for level in CFG.service_levels.values())
 PCT = f"{CFG.intermittency_threshold:.0%}"
 STALE_WEEKS = CFG.activity_window_weeks
 
@@ -323,7 +330,7 @@ REASONS = [
         " < TRY_CAST(dispatched_at AS TIMESTAMP)",
     ),
     (
-        f"purchased before {CFG.start_date} (platform launch artefact)",
+        f"purchased before {CFG.start_date}",
         f"status = '{CFG.completed_status}' AND TRY_CAST(ordered_at AS TIMESTAMP)"
         f" < DATE '{CFG.start_date}'",
     ),
@@ -429,6 +436,21 @@ SELECT count(*) AS products_sold,
        count(*) FILTER (WHERE n = 1) AS sold_exactly_once, count(*) FILTER (WHERE n >= 20) AS sold_20_or_more
 FROM (SELECT product_id, count(*) AS n FROM raw_lines GROUP BY 1)"""
 
+    q["profile_duplicate_keys"] = staging + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS key, count(*) FILTER (n > 1) AS repeated_keys,"
+        f" CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra_rows"
+        f" FROM (SELECT count(*) AS n FROM {cte} WHERE {k} IS NOT NULL GROUP BY {k})"
+        for t, k, cte in [
+            ("orders", "order_id", "raw_orders"),
+            ("products", "product_id", "raw_products"),
+            ("suppliers", "supplier_id", "raw_suppliers"),
+            ("category_labels", "category", "raw_labels"),
+        ]
+    )
+    q["line_value_percentile"] = staging + (
+        f"SELECT {num('quantile_cont(CAST(price AS DOUBLE), 0.9) AS value')}, count(price) AS n FROM stg_items"
+    )
+
     # Readiness
     q["readiness_unparseable"] = staging + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, (SELECT count(*) FROM raw_orders WHERE {c} IS NOT NULL"
@@ -444,7 +466,8 @@ ready AS (SELECT count(*) AS usable_orders,
        CAST(min(purchased_at) AS DATE) AS first_day, CAST(max(purchased_at) AS DATE) AS last_day
 FROM typed WHERE status = '{CFG.completed_status}' AND delivered_at > purchased_at),
 grain_p AS (SELECT quantile_cont(n, 0.5) AS median_lines, count(*) FILTER (WHERE n = 1) AS sold_exactly_once,
-       count(*) AS products_sold FROM (SELECT product_id, count(*) AS n FROM raw_lines GROUP BY 1)),
+       count(*) AS products_sold FROM (SELECT l.product_id, count(*) AS n FROM raw_lines l
+         LEFT JOIN raw_products p ON p.product_id = l.product_id GROUP BY 1)),
 grain_s AS (SELECT count(*) FILTER (WHERE weeks >= {CFG.min_weeks_history}) AS viable_series
 FROM (SELECT category, supplier_id, count(DISTINCT date_trunc('week', purchased_at)) AS weeks
       FROM raw_lines JOIN typed USING (order_id) JOIN raw_products USING (product_id)
@@ -514,6 +537,10 @@ ends AS (SELECT a.seller_id, a.since, min(b.since) AS next_since FROM spans a
 SELECT seller_id, state, city, mean_days AS avg_fulfil_days, since AS valid_from,
        CAST(next_since - 1 AS DATE) AS valid_to, next_since IS NULL AS is_current
 FROM spans JOIN ends USING (seller_id, since) LEFT JOIN stg_sellers USING (seller_id)"""
+    hash_ = "('0x' || left(md5(coalesce(seller_id, '') || '|' || CAST(valid_from AS VARCHAR)), 15))"
+    q["dim_seller_keys"] = q["dim_seller"].replace(
+        "\nSELECT seller_id, state", "\n, dim AS (SELECT seller_id, state"
+    ) + f") SELECT CAST({hash_} AS BIGINT) AS seller_key, * FROM dim"
 
     # Series statistics
     q["trailing_demand"] = marts + (
@@ -564,26 +591,42 @@ FROM params"""
     q["buffer_params_history_as_of"] = _with(*as_of) + f"SELECT {PUBLISHED} FROM params"
 
     # Gates and snapshots
-    def gates(population: str, previous: str) -> str:
-        return f"""
-, pop AS ({population}), before AS (SELECT count(*) AS n FROM ({previous})),
-c AS (SELECT count(*) AS total, count(*) FILTER (WHERE is_publishable) AS published,
+    measures = f"""count(*) AS total, count(*) FILTER (WHERE is_publishable) AS published,
        count(*) FILTER (WHERE is_publishable AND ss_observed < 0) AS negative,
        count(*) FILTER (WHERE is_publishable AND (observed_mean_days <= 0
                         OR observed_mean_days > {CFG.max_duration_days})) AS out_of_range,
        coalesce(100.0 * count(*) FILTER (WHERE is_publishable AND ss_observed IS NULL)
-                / NULLIF(count(*) FILTER (WHERE is_publishable), 0), 0) AS null_pct,
-       CAST((SELECT n FROM before) - count(*) AS DOUBLE) / NULLIF((SELECT n FROM before), 0) * 100 AS drop_pct
-      FROM pop),
-g AS (
-SELECT 'publishable series' AS "check", CAST(published AS DOUBLE) AS value, CAST(total AS DOUBLE) AS threshold,
-       TRUE AS passed FROM c
-UNION ALL SELECT 'negative safety stock', negative, 0, negative = 0 FROM c
-UNION ALL SELECT 'fulfilment duration out of range', out_of_range, 0, out_of_range = 0 FROM c
-UNION ALL SELECT 'null parameters pct', null_pct, {CFG.max_null_pct}, null_pct < {CFG.max_null_pct} FROM c
-UNION ALL SELECT 'row count drop pct', drop_pct, {CFG.max_row_drop_pct},
-       coalesce(drop_pct <= {CFG.max_row_drop_pct}, TRUE) FROM c)
-SELECT "check", {num("value", "threshold")}, passed FROM g"""
+                / NULLIF(count(*) FILTER (WHERE is_publishable), 0), 0) AS null_pct"""
+    names = ("publishable series", "negative safety stock", "fulfilment duration out of range",
+             "null parameters pct", "row count drop pct")
+    drop = "CAST(n - total AS DOUBLE) / NULLIF(n, 0) * 100"
+    rules = (
+        ("published", "total", "TRUE"),
+        ("negative", "0", "negative = 0"),
+        ("out_of_range", "0", "out_of_range = 0"),
+        ("null_pct", CFG.max_null_pct, f"null_pct < {CFG.max_null_pct}"),
+        (drop, CFG.max_row_drop_pct, f"coalesce({drop} <= {CFG.max_row_drop_pct}, TRUE)"),
+    )
+
+    def gate_rows(first: str = "") -> str:
+        """One row per gate of every row of c (its counts, and n rows before)."""
+        return " UNION ALL ".join(
+            f"""SELECT {first} '{name}' AS "check", {num(f"{v} AS value", f"{limit} AS threshold")}, {ok} AS passed
+FROM c"""
+            for name, (v, limit, ok) in zip(names, rules)
+        )
+
+    def gates(population: str, previous: str) -> str:
+        return f"""
+, pop AS ({population}),
+c AS (SELECT {measures}, (SELECT count(*) FROM ({previous})) AS n FROM pop),
+g AS ({gate_rows()})
+SELECT * FROM g"""
+
+    q["backfill_gates"] = _with(*many) + f"""
+, c AS (SELECT calc_date, {measures}, lag(count(*)) OVER (ORDER BY calc_date) AS n
+        FROM params GROUP BY calc_date)
+{gate_rows("calc_date,")}"""
 
     current = f"SELECT * FROM params WHERE calc_date = DATE '{CALC_DATE}'"
     earlier = f"SELECT * FROM params WHERE calc_date = DATE '{PREVIOUS_DATE}'"

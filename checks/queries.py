@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, RawTables
 from checks.workspace import ensure_workspace
-from stockpolicy.config import Mapping, SourceSpec
+from stockpolicy.config import Mapping as SourceMapping
+from stockpolicy.config import SourceSpec
 from stockpolicy.functions.session import scratch_path, stored
-from stockpolicy.operators import gates, marts, policy, segment, staging, stats
+from stockpolicy.operators import gates, marts, policy, quantile, segment, staging, stats
 from stockpolicy.plans import findings, history, profile, readiness
 from stockpolicy.schemas import SERIES
 from stockpolicy.sources import extracts, layers, snapshots
@@ -46,12 +47,9 @@ def to_foreign(df: DataFrame, section: str) -> DataFrame:
 class Tables:
     """The fixture's layers, all lazy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, raw: Mapping[str, DataFrame] | None = None):
         self.spark, self.sf_dir = spark, sf_dir
-
-    @cached_property
-    def raw(self) -> RawTables:
-        return RawTables(self.spark, self.sf_dir)
+        self.raw = RawTables(spark, sf_dir) if raw is None else raw
 
     @cached_property
     def typed(self) -> DataFrame:
@@ -77,9 +75,17 @@ class Tables:
     def facts(self) -> DataFrame:
         return marts.order_line_facts(self.orders, self.items, self.products)
 
+    @cached_property
+    def by_product(self) -> DataFrame:
+        return marts.product_rollup(self.orders, self.items, CFG)
+
     @cached_property
     def rollup(self) -> DataFrame:
-        return marts.weekly_rollup(self.facts)
+        return marts.series_rollup(self.by_product, self.products)
+
+    @cached_property
+    def dim_seller(self) -> DataFrame:
+        return marts.dim_seller(self.by_product, self.sellers)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -150,7 +156,7 @@ def comparable(df: DataFrame) -> DataFrame:
 def _scan_mapped_csv(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "extract")
     layers.write_layer(to_foreign(t.raw["order_lines"], "order_lines"), f"{folder}/lines", fmt="csv")
-    mapping = Mapping({"order_lines": SourceSpec("lines", FOREIGN["order_lines"])})
+    mapping = SourceMapping({"order_lines": SourceSpec("lines", FOREIGN["order_lines"])})
     return extracts.scan_mapped(t.spark, f"{folder}/lines", "order_lines", mapping)
 
 
@@ -220,14 +226,16 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "profile_monthly": lambda t: profile.profile_monthly(t.raw["orders"]),
     "profile_uncategorised": lambda t: profile.profile_uncategorised(t.raw["products"]),
     "profile_product_thickness": lambda t: profile.profile_product_thickness(t.raw["order_lines"]),
+    "profile_duplicate_keys": lambda t: profile.profile_duplicate_keys(t.raw),
+    "line_value_percentile": lambda t: quantile.exact_percentile(t.items, "price", 0.9),
     # Readiness
     "readiness_unparseable": lambda t: readiness.unparseable(t.raw["orders"]),
     "readiness_status": lambda t: readiness.status_values(t.raw["orders"]),
     "readiness_usable": lambda t: readiness.usable_orders(t.raw["orders"], CFG),
-    "readiness_product_grain": lambda t: readiness.product_grain(t.raw["order_lines"]),
+    "readiness_product_grain": lambda t: readiness.product_grain(t.raw["order_lines"], t.raw["products"]),
     "readiness_series_grain": _series_grain,
     "readiness_grain_verdict": lambda t: readiness.grain_verdict(
-        readiness.product_grain(t.raw["order_lines"]), _series_grain(t), CFG
+        readiness.product_grain(t.raw["order_lines"], t.raw["products"]), _series_grain(t), CFG
     ),
     "input_readiness": lambda t: readiness.input_readiness(t.raw, CFG),
     # Marts
@@ -238,8 +246,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "fct_demand_weekly": lambda t: t.demand,
     "fct_demand_to_calc_date": lambda t: marts.fct_demand_weekly(t.sales, CFG, CALC_DATE),
     "fulfilment_stats": lambda t: marts.fulfilment_stats(t.rollup, CFG),
-    "dim_seller": lambda t: marts.dim_seller(t.orders, t.items, t.sellers, CFG).drop("seller_key"),
-    "dim_seller_keys": lambda t: marts.dim_seller(t.orders, t.items, t.sellers, CFG),
+    "dim_seller": lambda t: t.dim_seller.drop("seller_key"),
+    "dim_seller_keys": lambda t: t.dim_seller,
     # Series statistics
     "trailing_demand": lambda t: t.window,
     "demand_stats": lambda t: stats.demand_stats(t.window),
@@ -290,6 +298,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # Gates and snapshots
     "quality_gates": _gates,
     "volume_gate": _volume_gate,
+    "backfill_gates": lambda t: gates.run_gates_by_date(t.history(HISTORY_DATES), None, CFG),
     "snapshot_upsert": _upsert,
     "snapshot_replace": lambda t: _republished(t, snapshots.publish_replace),
     "latest_snapshot": lambda t: snapshots.latest_snapshot(t.two_dates),

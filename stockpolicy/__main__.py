@@ -36,6 +36,7 @@ def _profiles(wh: Warehouse) -> dict:
         "first months": profile.profile_monthly(raw["orders"]),
         "uncategorised": profile.profile_uncategorised(raw["products"]),
         "lines per product": profile.profile_product_thickness(raw["order_lines"]),
+        "repeated keys": profile.profile_duplicate_keys(raw),
     }
 
 
@@ -56,6 +57,8 @@ def main(argv=None) -> int:
     p.add_argument("--dates", nargs="+", help="dates to backfill")
     p.add_argument("--as-of", action="store_true", help="each date sees only what was known by then")
     p.add_argument("--mode", default="replace", choices=["replace", "upsert"])
+    p.add_argument("--against", default="latest", choices=["latest", "before"], help="snapshot of the row-count gate")
+    p.add_argument("--na-values", nargs="*", default=(), help="texts that mean a missing value")
     p.add_argument("--no-multiline", action="store_true", help="no line breaks inside values")
     a = p.parse_args(argv)
 
@@ -76,7 +79,7 @@ def main(argv=None) -> int:
 
     wh = Warehouse(spark, a.root, cfg)
     if a.step == "load":
-        print(wh.load(a.dir, mapping, not a.no_multiline))
+        print(wh.load(a.dir, mapping, not a.no_multiline, a.na_values))
     elif a.step == "profile":
         _show(_profiles(wh))
     elif a.step == "marts":
@@ -85,7 +88,7 @@ def main(argv=None) -> int:
     elif a.step == "run":
         if not a.calc_date:
             p.error("run needs --calc-date")
-        print(wh.run(a.calc_date, a.mode))
+        print(wh.run(a.calc_date, a.mode, a.against))
     elif a.step == "backfill":
         if not a.dates:
             p.error("backfill needs --dates")

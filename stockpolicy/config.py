@@ -34,6 +34,7 @@ class PolicyConfig:
     start_date: dt.date = dt.date(2017, 1, 1)
     period_starts: tuple = (dt.date(2017, 1, 1), dt.date(2018, 1, 1))
     min_deliveries: int = 10
+    spine_end: dt.date | None = None  # weeks run on to this date's, not to a series' last sale
 
     max_duration_days: float = 365
     max_null_pct: float = 5
@@ -46,6 +47,8 @@ class PolicyConfig:
 
     def __post_init__(self):
         object.__setattr__(self, "start_date", _as_date(self.start_date))
+        if self.spine_end is not None:
+            object.__setattr__(self, "spine_end", _as_date(self.spine_end))
         starts = tuple(sorted(_as_date(d) for d in self.period_starts))
         if not starts:
             raise ValueError("period_starts needs at least one date")

@@ -9,6 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TIMESTAMP = "timestamp_ntz"
+# A whole date, and a time after it or nothing. Spark's cast alone would also take a bare
+# year, a year and month, and padded text.
+WHOLE_DATE = r"^\d{4}-\d{2}-\d{2}([ T]\S.*)?$"
 
 
 def col(c: Column | str) -> Column:
@@ -24,8 +27,8 @@ def is_blank(c: Column | str) -> Column:
 
 
 def to_timestamp(c: Column | str) -> Column:
-    """Text to timestamp without zone; blank and malformed become NULL."""
-    return col(c).try_cast(TIMESTAMP)
+    """Text to timestamp without zone; blank, malformed and partial dates become NULL."""
+    return F.when(col(c).rlike(WHOLE_DATE), col(c).try_cast(TIMESTAMP))
 
 
 def to_number(c: Column | str, type_: str) -> Column:

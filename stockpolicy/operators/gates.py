@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
@@ -23,20 +23,42 @@ def run_gates(params: DataFrame, previous: DataFrame | None, cfg: PolicyConfig)
     All gates but the row count look at the publishable series only. An absent
     or empty snapshot has no drop to measure, and passes.
     """
+    before = F.lit(None).cast("bigint")
+    if previous is not None:
+        before = previous.agg(F.count("*")).scalar()
+    return _gates(_counts(params, cfg).withColumn("before", F.nullif(before, F.lit(0))), cfg)
+
+
+def run_gates_by_date(params: DataFrame, published: DataFrame | None, cfg: PolicyConfig) -> DataFrame:
+    """`run_gates` for each calc_date of `params`, in one aggregate: calc_date and the gate's columns.
+
+    The row count of a date is held against the date before it, be that one of `params` or
+    one of `published` that `params` doesn't replace. One row per date and gate.
+    """
+    counts = _counts(params, cfg, "calc_date").withColumn("new", F.lit(True))
+    if published is not None:
+        kept = published.groupBy("calc_date").agg(F.count("*").alias("total")).join(
+            counts.select("calc_date"), "calc_date", "left_anti"
+        )
+        counts = counts.unionByName(kept.withColumn("new", F.lit(False)), allowMissingColumns=True)
+    earlier = F.lag("total").over(Window.orderBy("calc_date"))  # a row per date
+    dated = counts.withColumn("before", F.nullif(earlier, F.lit(0))).filter("new")
+    return _gates(dated, cfg, "calc_date")
+
+
+def _counts(params: DataFrame, cfg: PolicyConfig, *by: str) -> DataFrame:
     live = _publishable(params)
     stock, days = F.col("ss_observed"), F.col("observed_mean_days")
-    counts = params.agg(
+    return params.groupBy(*by).agg(
         F.count("*").alias("total"),
         F.count_if(live).alias("published"),
         F.count_if(live & (stock < 0)).alias("negative"),
         F.count_if(live & ((days <= 0) | (days > cfg.max_duration_days))).alias("out_of_range"),
         F.count_if(live & (stock.isNull() | F.isnan(stock))).alias("missing"),
     )
-    before = F.lit(None).cast("bigint")
-    if previous is not None:
-        before = previous.agg(F.count("*")).scalar()
-    counts = counts.withColumn("before", F.nullif(before, F.lit(0)))
 
+
+def _gates(counts: DataFrame, cfg: PolicyConfig, *by: str) -> DataFrame:
     def number(c: Column) -> Column:
         return c.cast("double")
 
@@ -59,6 +81,7 @@ def run_gates(params: DataFrame, previous: DataFrame | None, cfg: PolicyConfig)
     max_null = F.lit(float(cfg.max_null_pct))
     max_drop = F.lit(float(cfg.max_row_drop_pct))
     return counts.select(
+        *by,
         F.inline(
             F.array(
                 gate("publishable series", published, total, F.lit(True)),
@@ -67,7 +90,7 @@ def run_gates(params: DataFrame, previous: DataFrame | None, cfg: PolicyConfig)
                 gate("null parameters pct", null_pct, max_null, null_pct < max_null),
                 gate("row count drop pct", drop_pct, max_drop, drop_pct <= max_drop),
             )
-        )
+        ),
     )
 
 
@@ -75,5 +98,8 @@ def enforce(gates: DataFrame) -> None:
     """Raises with every failed gate listed. Runs a job; only failed gates are collected."""
     failed = gates.filter(~F.col("passed")).collect()
     if failed:
-        listing = "; ".join(f"{r['check']}: {r['value']:g} (limit {r['threshold']:g})" for r in failed)
+        date = (lambda r: f"{r['calc_date']} ") if "calc_date" in gates.columns else (lambda r: "")
+        listing = "; ".join(
+            f"{date(r)}{r['check']}: {r['value']:g} (limit {r['threshold']:g})" for r in failed
+        )
         raise DataQualityError(f"{len(failed)} quality check(s) failed: {listing}")

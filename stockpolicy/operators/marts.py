@@ -1,10 +1,9 @@
 """Marts: order-line facts, dense weekly demand, duration statistics, seller versions.
 
-Shuffles. Orders meet lines in one shuffle on order_id; a product table above
-the broadcast threshold costs a second one, where adaptive execution splits a
-hot product. After that everything is aggregated map-side first: `weekly_rollup`
-holds at most one row per series and week, and both the demand fact and the
-duration statistics are built from it, so the big join runs once.
+Shuffles. Orders meet lines in one shuffle on order_id, and the result is aggregated
+map-side to `product_rollup`: a row per product, seller, week and seller period. The series
+rollup joins products to that smaller table, and seller versions are summed from it, so the
+big join runs once and a hot product is folded before any second shuffle.
 """
 
 from __future__ import annotations
@@ -85,6 +84,35 @@ def weekly_rollup(facts: DataFrame, *extra_keys: str) -> DataFrame:
     )
 
 
+def period_start(cfg: PolicyConfig) -> Column:
+    """First day of the configured period that the purchase falls in."""
+    starts = cfg.period_starts
+    valid_from = date_lit(starts[0])
+    for start in starts[1:]:
+        valid_from = F.when(F.col("purchase_date") >= date_lit(start), date_lit(start)).otherwise(
+            valid_from
+        )
+    return valid_from
+
+
+def product_rollup(orders: DataFrame, items: DataFrame, cfg: PolicyConfig) -> DataFrame:
+    """Orders joined to lines, reduced to a row per product, seller, week and seller period."""
+    lines = orders.join(items, "order_id", "inner").withColumn("valid_from", period_start(cfg))
+    return lines.groupBy("product_id", "seller_id", "purchase_week", "valid_from").agg(
+        F.sum("qty").alias("units"),
+        F.sum(F.col("price") * F.col("qty")).alias("revenue"),
+        *day_sums(),
+    )
+
+
+def series_rollup(by_product: DataFrame, products: DataFrame) -> DataFrame:
+    """`weekly_rollup` from sums by product: the same numbers, also where products repeat."""
+    joined = by_product.join(products.select("product_id", "category"), "product_id", "inner")
+    return joined.groupBy(*SERIES, "purchase_week").agg(
+        F.sum("units").alias("units"), F.sum("revenue").alias("revenue"), *sum_of_sums()
+    )
+
+
 def weekly_sales(rollup: DataFrame) -> DataFrame:
     return rollup.select(*SERIES, "purchase_week", "units", "revenue")
 
@@ -186,29 +214,14 @@ def fulfilment_stats(rollup: DataFrame, cfg: PolicyConfig) -> DataFrame:
     return duration_stats(sums.filter(F.col("n_lines") >= cfg.min_deliveries))
 
 
-def dim_seller(
-    orders: DataFrame, items: DataFrame, sellers: DataFrame | None, cfg: PolicyConfig
-) -> DataFrame:
-    """Type-2 seller versions, one per period with deliveries.
+def dim_seller(by_product: DataFrame, sellers: DataFrame | None) -> DataFrame:
+    """Type-2 seller versions from `product_rollup`, one per period with deliveries.
 
-    `valid_to` is inclusive and NULL for the current version. The key is a hash
-    of seller and start date, so a rerun assigns the same keys.
+    `valid_to` is inclusive and NULL for the current version. The key is the first 60 bits of a
+    hash of seller and start date, so a rerun assigns the same keys.
     """
-    starts = cfg.period_starts
-    valid_from = date_lit(starts[0])
-    for start in starts[1:]:
-        valid_from = F.when(F.col("purchase_date") >= date_lit(start), date_lit(start)).otherwise(
-            valid_from
-        )
-    periods = (
-        orders.select("order_id", "observed_fulfil_days", valid_from.alias("valid_from"))
-        .join(items.select("order_id", "seller_id"), "order_id", "inner")
-        .groupBy("seller_id", "valid_from")
-        .agg(
-            (F.sum(F.col("observed_fulfil_days").cast("bigint")) / F.count("*"))
-            .cast(MEAN_DAYS)
-            .alias("avg_fulfil_days")
-        )
+    periods = by_product.groupBy("seller_id", "valid_from").agg(
+        (F.sum("observed_sum") / F.sum("n_lines")).cast(MEAN_DAYS).alias("avg_fulfil_days")
     )
     following = F.lead("valid_from").over(
         Window.partitionBy("seller_id").orderBy("valid_from")
@@ -219,8 +232,10 @@ def dim_seller(
         versions = versions.withColumns({"state": nothing, "city": nothing})
     else:
         versions = versions.join(sellers.select("seller_id", "state", "city"), "seller_id", "left")
+    named = F.concat_ws("|", F.coalesce("seller_id", F.lit("")), F.col("valid_from").cast("string"))
+    key = F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("bigint")
     return versions.select(
-        F.xxhash64("seller_id", "valid_from").alias("seller_key"),
+        key.alias("seller_key"),
         "seller_id",
         "state",
         "city",
@@ -229,3 +244,10 @@ def dim_seller(
         F.date_sub("next_from", 1).alias("valid_to"),
         F.col("next_from").isNull().alias("is_current"),
     )
+
+
+def assert_unique_keys(dim: DataFrame) -> None:
+    """Fails when two versions have one key, by a hash collision or a repeated seller. Runs a job."""
+    bad = dim.groupBy("seller_key").agg(F.count("*").alias("n")).filter("n > 1").take(1)
+    if bad:
+        raise ValueError(f"seller key {bad[0]['seller_key']} is not unique")

@@ -7,28 +7,40 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sketch accuracy, and the half width of the bracket as a share of the rows.
-# The bracket is ten times wider than the sketch's rank error. Up to ACCURACY
-# rows the bracket is everything.
+# Sketch accuracy, the half width of the bracket as a share of the rows (ten times the
+# sketch's rank error), and the rows a bracket may hold to be ordered in one task.
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
+ORDERED_ROWS = 100_000
+PASSES = 20
 
 
 def exact_percentile(df: DataFrame, value: str, p: float) -> DataFrame:
     """One row: the interpolated percentile of the non-null values, and their count.
 
-    A sketch brackets the wanted rank, the rows below the bracket are only
-    counted, and just the distinct values inside it (about 0.2% of the rows)
-    are ordered. A bracket that misses the rank raises instead of returning a
-    wrong value. Runs a job that brings the count and the two edges to the
-    driver.
+    A sketch brackets the wanted rank, and a bracket that is still large is bracketed
+    again, each time to about 0.2% of its rows. The rows below are only counted, and
+    the distinct values of the last bracket are ordered. A bracket that misses the rank
+    raises instead of returning a wrong value. Runs two small jobs per pass, which bring
+    counts and edges to the driver.
     """
     values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    edges = F.array(F.lit(max(p - MARGIN, 0.0)), F.lit(min(p + MARGIN, 1.0)))
-    n, cut = values.agg(F.count("v"), F.percentile_approx("v", edges, ACCURACY)).first()
-    low, high = (float(cut[0]), float(cut[1])) if n > ACCURACY else (-math.inf, math.inf)
+    n = values.count()
     rank = p * (n - 1) if n else 0.0
     first, second = math.floor(rank), math.ceil(rank)
+    low, high, under, inside = -math.inf, math.inf, 0, n
+    for _ in range(PASSES if n else 0):
+        # Two ranks to either side at least, so that few rows are bracketed as well.
+        margin = max(MARGIN, 2 / inside)
+        at = [(first - under) / inside - margin, (second + 1 - under) / inside + margin]
+        edges = F.array(*(F.lit(min(max(x, 0.0), 1.0)) for x in at))
+        held = values.filter(F.col("v").between(low, high))
+        low, high = map(float, held.agg(F.percentile_approx("v", edges, ACCURACY)).first()[0])
+        before = inside
+        between = F.col("v").between(low, high)
+        under, inside = values.agg(F.count_if(F.col("v") < low), F.count_if(between)).first()
+        if inside <= ORDERED_ROWS or inside == before or low == high:
+            break
 
     # All rows below the bracket share the NULL group, which sorts first.
     counted = (
@@ -49,13 +61,3 @@ def exact_percentile(df: DataFrame, value: str, p: float) -> DataFrame:
         .alias("value"),
         F.lit(n).alias("n"),
     )
-
-
-def frequency_percentile(df: DataFrame, value: str, copies: str, p: float) -> DataFrame:
-    """Percentile of counted values, from their histogram.
-
-    Meant for group sizes: sizes that add up to N rows have at most sqrt(2N)
-    distinct values, so the histogram stays small at any scale.
-    """
-    histogram = df.groupBy(value).agg(F.sum(copies).alias(copies))
-    return histogram.agg(F.percentile(value, F.lit(p), F.col(copies)).alias("value"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from stockpolicy.functions.session import stored
 from stockpolicy.schemas import SERIES
 
 AMOUNT = "decimal(28,6)"
+ROWS_PER_RANGE = 200_000
 
 
 def cumulative_share(
@@ -19,25 +22,25 @@ def cumulative_share(
 
     A window ordered over everything would put all rows into one task. Instead:
 
-    1. range-partition on (by, value desc, ties): balanced ranges even when a
+    1. range-partition on (by, value desc, ties), as many ranges as the rows need
+       (ROWS_PER_RANGE): balanced even when a
        third of the rows carry the same value, because the ties differ. Ranging
        reads its input twice (sample, then shuffle), so it is cached meanwhile;
     2. keep that layout on shared storage, so both passes see the same ranges;
-    3. sum per range. This table has one row per range and `by` group, whatever
-       the input size, so its running total is small and safe to broadcast;
+    3. sum per range. This table has one row per range and `by` group, so its
+       running total is small;
     4. running sum inside each range, plus the range's offset.
 
     Sums are decimal, so the result does not depend on the order of addition.
     When the total is zero the shares are 0 and `cum_share_before` is NULL.
-    Runs a job (step 2). Ties must make the order total.
+    Runs jobs (steps 1 and 2). Ties must make the order total.
     """
     by = list(by)
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc(value), *ties]
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
     source = df.withColumn("_amount", amount).persist()
     try:
+        n = buckets or max(1, math.ceil(source.count() / ROWS_PER_RANGE))
         ranged = stored(
             source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id()),
             "ranges",
@@ -62,7 +65,7 @@ def cumulative_share(
     total = F.nullif(F.col("_total").cast("double"), F.lit(0.0))
     upto = F.col("_offset") + F.sum("_amount").over(running)
     return (
-        ranged.join(F.broadcast(offsets), [*by, "_range"])
+        ranged.join(offsets, [*by, "_range"])
         .withColumn("_upto", upto)
         .withColumns(
             {

@@ -15,7 +15,6 @@ from stockpolicy.operators.marts import (
     duration_stats,
     sum_of_sums,
     weekly_rollup,
-    weeks_from,
 )
 from stockpolicy.operators.policy import freshness_columns, policy_columns
 from stockpolicy.operators.stats import aggregate_window, finish_window
@@ -23,10 +22,6 @@ from stockpolicy.schemas import QUANTITY, SERIES
 
 DATED = ["calc_date", *SERIES]
 
-# Above this many rows a date table is left to Spark's own join choice.
-BROADCAST_ROWS = 1_000_000
-
-
 def _sorted_dates(dates) -> list[dt.date]:
     days = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in dates})
     if not days:
@@ -34,25 +29,18 @@ def _sorted_dates(dates) -> list[dt.date]:
     return days
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def window_weeks(spark: SparkSession, dates: list[dt.date], weeks: int) -> DataFrame:
     """(purchase_week, calc_date) for every Monday in every date's window.
 
-    Exactly dates x weeks rows, known before the job starts. Joining the fact
-    to it on the week is an equi-join, where a window predicate per date would
+    Dates x weeks local rows, so Spark knows the size and chooses the join. Joining the
+    fact to it on the week is an equi-join, where a window predicate per date would
     be a range join.
     """
-    days = spark.range(1).select(
-        F.explode(F.array(*(date_lit(d) for d in dates))).alias("calc_date")
-    )
-    last = F.date_sub("calc_date", F.weekday("calc_date"))
-    mondays = weeks_from(F.date_sub(last, 7 * (weeks - 1)), last)
-    return _small(
-        days.select("calc_date", F.explode(mondays).alias("purchase_week")), len(dates) * weeks
-    )
+    rows = []
+    for d in dates:
+        last = d - dt.timedelta(d.weekday())
+        rows += [(last - dt.timedelta(7 * k), d) for k in range(weeks)]
+    return spark.createDataFrame(rows, "purchase_week date, calc_date date")
 
 
 def params_history(
@@ -86,81 +74,56 @@ def params_history(
     )
 
 
-def _demand_as_of(sales: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
-    weeks = cfg.demand_window_weeks
-    series = Window.partitionBy(*SERIES).orderBy("purchase_week")
-    so_far = series.rowsBetween(Window.unboundedPreceding, 0)
-    week = F.col("purchase_week")
-    sparse = sales.filter(week <= date_lit(days[-1])).withColumns(
-        {
-            "next_week": F.lead(week).over(series),
-            "active_weeks": F.count("*").over(so_far),
-            "total_units": F.sum("units").over(so_far),
-            "last_sale_week": F.max(F.when(F.col("units") > 0, week)).over(so_far),
-        }
-    )
-    fill_to = F.coalesce(F.date_sub("next_week", 7), week)
-    dense = sparse.withColumn("week", F.explode(weeks_from(week, fill_to))).filter(
-        F.col("week") > F.date_sub(date_lit(days[0]), 7 * weeks)
-    )
-    sold = F.col("week") == week
-    zero = F.lit(0)
-    rows = dense.select(
-        *SERIES,
-        F.col("week").alias("purchase_week"),
-        sold.alias("sold"),
-        F.coalesce(F.when(sold, F.col("units")), zero).cast(QUANTITY).alias("units"),
-        F.coalesce(F.when(sold, F.col("revenue")), zero).cast("decimal(38,8)").alias("revenue"),
-        "next_week",
-        "active_weeks",
-        "total_units",
-        "last_sale_week",
-    ).join(window_weeks(sales.sparkSession, days, weeks), "purchase_week", "inner")
-    # An empty week is known to be one only once the next sale has happened.
-    known = rows.filter(F.col("sold") | (F.col("next_week") <= F.col("calc_date")))
-    return finish_window(
-        known.groupBy(*DATED).agg(
-            *aggregate_window(F.col("units"), F.col("revenue")),
-            F.max("last_sale_week").alias("last_sale_week"),
-            F.max("active_weeks").alias("active_weeks"),
-            F.max_by("total_units", "active_weeks").alias("total_units"),
-        ),
-        weeks,
-    ).filter(
-        (F.col("active_weeks") >= cfg.min_weeks_history)
-        & (F.col("total_units") >= cfg.min_units_history)
-    )
-
-
 def _known_rollup(facts: DataFrame, days: list[dt.date]) -> DataFrame:
-    """Weekly rollup split by `known_at`, the first date that sees the line received.
+    """Weekly rollup split by `known_at`, the first date by which the line was received.
 
-    NULL means no date does. Materialised, so the line-level join behind it runs
-    once for demand and durations together.
+    A line is received after it was bought, so by that date both are known. Lines that no
+    date sees fall out. Stored, so the line-level join behind it runs once.
     """
-    first = date_lit(days[0])
-    last = date_lit(days[-1])
-    all_dates = F.array(*(date_lit(d) for d in days))
-    known_days = facts.sparkSession.range(1).select(
-        F.explode(F.sequence(first, last)).alias("known_day")
-    )
-    calendar = known_days.select(
-        "known_day",
-        F.array_min(F.filter(all_dates, lambda d: d >= F.col("known_day"))).alias("known_at"),
+    first, at, calendar = days[0], 0, []
+    for day in (first + dt.timedelta(k) for k in range((days[-1] - first).days + 1)):
+        at += day > days[at]
+        calendar.append((day, days[at]))
+    known = facts.sparkSession.createDataFrame(calendar, "known_day date, known_at date")
+    received = F.greatest("delivered_date", "purchase_date", date_lit(first))
+    dated = facts.withColumn("known_day", received).join(known, "known_day")
+    return stored(weekly_rollup(dated, "known_at"), "known")
+
+
+def _window_as_of(known: DataFrame, days: list[dt.date], weeks: int) -> DataFrame:
+    """Sums over the weeks of each date's window with a sale known by the date, per series."""
+    units, revenue = F.coalesce("units", F.lit(0)).cast(QUANTITY), F.coalesce("revenue", F.lit(0))
+    seen = known.join(window_weeks(known.sparkSession, days, weeks), "purchase_week")
+    per_week = (
+        seen.filter("known_at <= calc_date")
+        .groupBy(*DATED, "purchase_week")
+        .agg(F.sum(units).alias("u"), F.sum(revenue).alias("window_revenue"))
     )
-    span = (days[-1] - days[0]).days + 1
-    dated = facts.withColumn("known_day", F.greatest("delivered_date", first)).join(
-        _small(calendar, span), "known_day", "left"
+    u = F.col("u").cast("double")
+    return per_week.groupBy(*DATED).agg(
+        F.sum(u).alias("s"),
+        F.sum(u * u).alias("ss"),
+        F.count_if(F.col("u") != 0).alias("sold_weeks"),
+        F.sum("window_revenue").alias("window_revenue"),
     )
-    return stored(weekly_rollup(dated, "known_at"), "known")
 
 
-def _fulfilment_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
-    all_dates = F.array(*(date_lit(d) for d in days))
+def _totals_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
+    """Per series and date: duration sums, and weeks, units and extent of the sales known by then."""
+    week = F.col("purchase_week")
+    first_seen = F.min("known_at").over(Window.partitionBy(*SERIES, "purchase_week"))
+    units = F.coalesce("units", F.lit(0))
     sums = (
-        known.filter(F.col("known_at").isNotNull())
+        known.withColumn("is_new", (F.col("known_at") == first_seen).cast("bigint"))
         .groupBy(*SERIES, "known_at")
-        .agg(*sum_of_sums())
+        .agg(
+            *sum_of_sums(),
+            F.sum("is_new").alias("active_weeks"),
+            F.sum(units).alias("total_units"),
+            F.min(week).alias("first_week"),
+            F.max(week).alias("last_week"),
+            F.max(F.when(units > 0, week)).alias("last_sale_week"),
+        )
     )
     by_date = Window.partitionBy(*SERIES).orderBy("known_at")
     so_far = by_date.rowsBetween(Window.unboundedPreceding, 0)
@@ -168,10 +131,15 @@ def _fulfilment_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig)
         *SERIES,
         "known_at",
         F.lead("known_at").over(by_date).alias("next_known"),
-        *(
-            F.sum(c).over(so_far).alias(c) for c in DAY_SUMS
-        ),
-    ).filter(F.col("n_lines") >= cfg.min_deliveries)
+        *(F.sum(c).over(so_far).alias(c) for c in (*DAY_SUMS, "active_weeks", "total_units")),
+        F.min("first_week").over(so_far).alias("first_week"),
+        *(F.max(c).over(so_far).alias(c) for c in ("last_week", "last_sale_week")),
+    ).filter(
+        (F.col("n_lines") >= cfg.min_deliveries)
+        & (F.col("active_weeks") >= cfg.min_weeks_history)
+        & (F.col("total_units") >= cfg.min_units_history)
+    )
+    all_dates = F.array(*(date_lit(d) for d in days))
     from_, until = F.col("known_at"), F.col("next_known")
     valid = F.filter(all_dates, lambda d: (d >= from_) & (until.isNull() | (d < until)))
     dated = totals.withColumn("calc_date", F.explode(valid)).drop("known_at", "next_known")
@@ -179,18 +147,28 @@ def _fulfilment_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig)
 
 
 def params_history_as_of(facts: DataFrame, dates, cfg: PolicyConfig) -> DataFrame:
-    """Like `params_history`, but each date sees only what was known by then.
+    """Like `params_history`, but each date sees only what was known by then. Runs jobs.
 
-    Durations use orders received by the date; the floors and the spine use
-    sales weeks up to it. Runs a job (ABC).
+    A date's facts are the lines bought and received by it; demand, spine, floors and
+    durations all come from these. Weeks without a sale are counted, not made: they lie
+    between a series' first and last known sale week and inside the window.
     """
-    days = _sorted_dates(dates)
+    days, weeks = _sorted_dates(dates), cfg.demand_window_weeks
     known = _known_rollup(facts, days)
-    sales = known.groupBy(*SERIES, "purchase_week").agg(
-        F.sum("units").alias("units"), F.sum("revenue").alias("revenue")
+    joined = _window_as_of(known, days, weeks).join(_totals_as_of(known, days, cfg), DATED)
+    monday = F.date_sub("calc_date", F.weekday("calc_date"))
+    opens = F.greatest("first_week", F.date_sub(monday, 7 * (weeks - 1)))
+    n = (F.datediff("last_week", opens) / 7 + 1).cast("bigint")
+    rows, s, ss = F.col("weeks"), F.col("s"), F.col("ss")
+    spread = F.greatest(ss - s * s / rows, F.lit(0.0)) / (rows - 1)
+    inputs = joined.withColumn("weeks", n).withColumns(
+        {
+            "demand_mean": s / rows,
+            "demand_sd": F.when(rows > 1, F.sqrt(spread)).otherwise(F.lit(0.0)),
+            "zero_week_share": (rows - F.col("sold_weeks")).cast("double") / rows,
+        }
     )
-    demand = _demand_as_of(sales, days, cfg)
-    joined = demand.join(_fulfilment_as_of(known, days, cfg), DATED, "inner")
+    inputs = finish_window(inputs, weeks).drop("s", "ss", "sold_weeks", "first_week", "last_week")
     return policy_columns(
-        freshness_columns(joined, F.col("calc_date"), cfg), cfg, by=["calc_date"]
+        freshness_columns(inputs, F.col("calc_date"), cfg), cfg, by=["calc_date"]
     )

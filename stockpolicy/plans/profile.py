@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
 from stockpolicy.functions.columns import is_blank, percent, to_timestamp
-from stockpolicy.operators.quantile import frequency_percentile
 
 
 def with_share(counts: DataFrame, n: str, digits: int) -> DataFrame:
@@ -78,5 +79,29 @@ def profile_product_thickness(raw_lines: DataFrame) -> DataFrame:
     )
 
 
-def median_lines(raw_lines: DataFrame) -> DataFrame:
-    return frequency_percentile(lines_per_product(raw_lines), "lines", "products", 0.5)
+
+# The key of each raw table that others join.
+KEYS = {
+    "orders": "order_id",
+    "products": "product_id",
+    "suppliers": "supplier_id",
+    "category_labels": "category",
+}
+
+
+def profile_duplicate_keys(raw) -> DataFrame:
+    """Per joined table: keys that occur more than once, and the rows beyond the first of each.
+
+    A repeated product or label multiplies demand without any error.
+    """
+    parts = []
+    for table, key in KEYS.items():
+        if table in raw:
+            counts = raw[table].filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+            parts.append(
+                counts.agg(
+                    F.count_if(F.col("n") > 1).alias("repeated_keys"),
+                    F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra_rows"),
+                ).select(F.lit(table).alias("table_name"), F.lit(key).alias("key"), "repeated_keys", "extra_rows")
+            )
+    return reduce(DataFrame.unionByName, parts)

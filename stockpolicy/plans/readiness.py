@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stockpolicy.config import Mapping, PolicyConfig
 from stockpolicy.functions.columns import to_timestamp, week_start
-from stockpolicy.plans.profile import lines_per_product
 from stockpolicy.schemas import READINESS_REQUIRED
 from stockpolicy.sources.extracts import path_exists, read_text_csv, to_canonical
 
@@ -84,10 +83,20 @@ def usable_orders(raw_orders: DataFrame, cfg: PolicyConfig) -> DataFrame:
     return raw_orders.agg(*_usable_aggs(cfg))
 
 
-def product_grain(raw_lines: DataFrame) -> DataFrame:
+def product_grain(raw_lines: DataFrame, raw_products: DataFrame) -> DataFrame:
+    """Lines per product after joining products, where a repeated product counts its lines again.
+
+    Lines and products are counted by product first, so the join is between one row per
+    product on both sides.
+    """
     lines, products = F.col("lines"), F.col("products")
     named = raw_lines.filter(F.col("product_id").isNotNull())
-    return lines_per_product(named).agg(
+    sold = named.groupBy("product_id").agg(F.count("*").alias("sold"))
+    listed = raw_products.groupBy("product_id").agg(F.count("*").alias("copies"))
+    merged = sold.join(listed, "product_id", "left").select(
+        (F.col("sold") * F.coalesce("copies", F.lit(1))).alias("lines")
+    )
+    return merged.groupBy("lines").agg(F.count("*").alias("products")).agg(
         F.percentile(lines, F.lit(0.5), products).alias("median_lines"),
         F.coalesce(F.sum(F.when(lines == 1, products)), F.lit(0)).alias("sold_exactly_once"),
         F.coalesce(F.sum(products), F.lit(0)).alias("products_sold"),
@@ -173,7 +182,7 @@ def input_readiness(raw: dict[str, DataFrame], cfg: PolicyConfig) -> DataFrame:
         _check("usable orders", usable, _level(usable < cfg.min_usable_orders, FAIL)),
         _check("history weeks", span, _level(span < cfg.min_span_weeks, WARN), days),
     ).filter((F.col("check") != "history weeks") | F.col("value").isNotNull())
-    product = product_grain(lines)
+    product = product_grain(lines, products)
     product_checks = _rows(
         product,
         _check("median lines per product", F.col("median_lines")),

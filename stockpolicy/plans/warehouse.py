@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stockpolicy.config import Mapping, PolicyConfig
 from stockpolicy.operators import marts as M
 from stockpolicy.operators import staging as S
-from stockpolicy.operators.gates import enforce, run_gates
+from stockpolicy.operators.gates import enforce, run_gates, run_gates_by_date
 from stockpolicy.operators.policy import params_from_marts, require_nonempty, run_summary
 from stockpolicy.plans.findings import review_grid, review_tiles, review_worst
 from stockpolicy.plans.history import params_history, params_history_as_of
@@ -22,6 +22,7 @@ from stockpolicy.schemas import SECTIONS
 from stockpolicy.sources.extracts import assert_counts, load_raw, path_exists, raw_row_counts
 from stockpolicy.sources.layers import read_fact, write_fact, write_layer, write_small
 from stockpolicy.sources.snapshots import (
+    assert_dates,
     latest_snapshot,
     publish_replace,
     publish_upsert,
@@ -47,12 +48,6 @@ def stage(raw: dict[str, DataFrame], cfg: PolicyConfig) -> dict[str, DataFrame]:
     return tables
 
 
-def rollup(staging: dict[str, DataFrame]) -> DataFrame:
-    """The big join, reduced to one row per series and week."""
-    facts = M.order_line_facts(staging["orders"], staging["order_items"], staging["products"])
-    return M.weekly_rollup(facts)
-
-
 def _read_dir(spark: SparkSession, root: str, layer: str, names) -> dict[str, DataFrame]:
     found = {}
     for name in names:
@@ -72,9 +67,15 @@ class Warehouse:
     def snapshots_path(self) -> str:
         return f"{self.root}/mart/buffer_params"
 
-    def load(self, directory: str, mapping: Mapping, multiline: bool = True) -> dict[str, int]:
-        """Extract to raw, then checks the row counts of what was written."""
-        for section, df in load_raw(self.spark, directory, mapping, multiline).items():
+    def load(
+        self, directory: str, mapping: Mapping, multiline: bool = True, na_values=()
+    ) -> dict[str, int]:
+        """Extract to raw, then checks the row counts of what was written.
+
+        `na_values` are texts that mean a missing value, beside the empty one. With
+        `multiline` each file is read by one task.
+        """
+        for section, df in load_raw(self.spark, directory, mapping, multiline, na_values).items():
             write_layer(df, f"{self.root}/raw/{section}")
         expected = {name: spec.expected_rows for name, spec in mapping.sections.items()}
         return assert_counts(raw_row_counts(self.raw()), expected)
@@ -94,16 +95,19 @@ class Warehouse:
 
     def build_marts(self) -> None:
         staging = self.staging()
-        weekly = f"{self.root}/mart/series_weekly"
-        write_layer(rollup(staging), weekly)
-        sums = self.spark.read.parquet(weekly)
-        fct = M.fct_demand_weekly(M.weekly_sales(sums), self.cfg)
+        lines = M.product_rollup(staging["orders"], staging["order_items"], self.cfg)
+        by_product = self._keep(lines, "product_weekly")
+        sums = self._keep(M.series_rollup(by_product, staging["products"]), "series_weekly")
+        fct = M.fct_demand_weekly(M.weekly_sales(sums), self.cfg, self.cfg.spine_end)
         write_fact(fct, f"{self.root}/mart/fct_demand_weekly")
         write_layer(M.fulfilment_stats(sums, self.cfg), f"{self.root}/mart/fulfilment_stats")
-        sellers = M.dim_seller(
-            staging["orders"], staging["order_items"], staging.get("sellers"), self.cfg
-        )
-        write_layer(sellers, f"{self.root}/mart/dim_seller")
+        sellers = self._keep(M.dim_seller(by_product, staging.get("sellers")), "dim_seller")
+        M.assert_unique_keys(sellers)
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/mart/{name}"
+        write_layer(df, path)
+        return self.spark.read.parquet(path)
 
     def demand(self, last: dt.date | str | None = None) -> DataFrame:
         return read_fact(self.spark, f"{self.root}/mart/fct_demand_weekly", last=last)
@@ -114,20 +118,26 @@ class Warehouse:
     def snapshots(self) -> DataFrame:
         return read_snapshots(self.spark, self.snapshots_path)
 
-    def run(self, calc_date: dt.date | str, mode: str = "replace") -> dict:
-        """Computes, checks and publishes one date. Nothing is written if a gate fails."""
+    def run(self, calc_date: dt.date | str, mode: str = "replace", against: str = "latest") -> dict:
+        """Computes, checks and publishes one date. Nothing is written if a gate fails.
+
+        The row count is held against the `latest` snapshot, or the latest one `before` the date.
+        """
         if mode not in ("replace", "upsert"):
             raise ValueError(f"unknown publish mode '{mode}'")
+        if against not in ("latest", "before"):
+            raise ValueError(f"unknown snapshot to compare with '{against}'")
         fct, fulfilment = self.demand(last=calc_date), self.fulfilment()
         require_nonempty(fct, fulfilment)
         params = params_from_marts(fct, fulfilment, self.cfg, calc_date).persist()
         try:
             summary = run_summary(params).first().asDict()
             if not summary["computed"]:
-                raise ValueError("empty source data; refusing to publish parameters")
+                raise ValueError(f"nothing to publish: no series on {calc_date}")
             previous = None
             if snapshot_exists(self.spark, self.snapshots_path):
-                previous = latest_snapshot(self.snapshots())
+                before = calc_date if against == "before" else None
+                previous = latest_snapshot(self.snapshots(), before)
             enforce(run_gates(params, previous, self.cfg))
             out = to_published(params, calc_date)
             if mode == "replace":
@@ -141,10 +151,11 @@ class Warehouse:
     def backfill(self, dates, as_of: bool = False) -> None:
         """Computes, checks and publishes many dates in one go, replacing their snapshots.
 
-        With `as_of` each date sees only what was known by then. The gates look
-        at all dates together; the row-count gate needs a single date and is
-        left to `run`.
+        With `as_of` each date sees only what was known by then. All gates hold for each
+        date alone, the row count against the date before it. A date without rows
+        is an error. Nothing is written if a gate of any date fails.
         """
+        dates = list(dates)
         if as_of:
             staging = self.staging()
             facts = M.order_line_facts(
@@ -157,7 +168,10 @@ class Warehouse:
         params = params.persist()
         try:
             require_nonempty(params)
-            enforce(run_gates(params, None, self.cfg))
+            assert_dates(params, dates)
+            exists = snapshot_exists(self.spark, self.snapshots_path)
+            published = self.snapshots() if exists else None
+            enforce(run_gates_by_date(params, published, self.cfg))
             publish_replace(to_published(params), self.snapshots_path)
         finally:
             params.unpersist()

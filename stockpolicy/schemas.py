@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The interface of raw tables and of the published snapshot.
 # Raw sections: canonical columns in table order (all text), and whether required.
 SECTIONS = {
     "orders": (

@@ -126,7 +126,6 @@ def assert_counts(counts: DataFrame, expected: dict[str, int | None]) -> dict[st
         want = expected.get(section)
         if want and n != int(want):
             raise ValueError(
-                f"raw.{section} loaded {n} rows, mapping expects {want}; "
-                "the source may be truncated or from a different extract"
+                f"{section}: {n} rows were read where the mapping announces {want}"
             )
     return found

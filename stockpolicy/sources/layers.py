@@ -14,7 +14,10 @@ def write_layer(
     """Truncate and load. Runs a job. Must not overwrite a path the plan reads."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if fmt == "csv":
+        # Spark trims values by default; text is written as it is.
         writer = writer.option("header", True)
+        for side in ("Leading", "Trailing"):
+            writer = writer.option(f"ignore{side}WhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)

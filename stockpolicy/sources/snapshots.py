@@ -64,11 +64,27 @@ def _write(published: DataFrame, path: str) -> None:
     )
 
 
-def publish_replace(published: DataFrame, path: str) -> None:
+def assert_dates(published: DataFrame, dates) -> None:
+    """Fails when one of `dates` has no rows, or a row is of another date. Runs a job.
+
+    Collects one row per date.
+    """
+    found = {r["calc_date"] for r in published.select("calc_date").distinct().collect()}
+    wanted = {d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in dates}
+    if wanted - found:
+        raise ValueError(f"no rows for {', '.join(sorted(map(str, wanted - found)))}")
+    if found - wanted:
+        raise ValueError(f"rows of other dates: {', '.join(sorted(map(str, found - wanted)))}")
+
+
+def publish_replace(published: DataFrame, path: str, dates=None) -> None:
     """Replaces the snapshots of the dates given, leaves the others. Runs jobs.
 
-    A rerun of a date reproduces it exactly: keys it no longer yields are gone.
+    A rerun of a date reproduces it exactly: keys it no longer yields are gone. With
+    `dates`, each of them must have rows, so that none keeps its old snapshot unnoticed.
     """
+    if dates is not None:
+        assert_dates(published, dates)
     assert_publish_key(published)
     _write(published, path)
 

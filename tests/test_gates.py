@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
-from stockpolicy.operators.gates import DataQualityError, enforce, run_gates
+from stockpolicy.operators.gates import DataQualityError, enforce, run_gates, run_gates_by_date
 
 CFG = PolicyConfig()
 SCHEMA = "ss_observed double, observed_mean_days double, is_publishable boolean"
@@ -73,3 +74,16 @@ def test_enforce_lists_every_failure(spark):
 def test_a_snapshot_passes_against_itself(tables):
     got = run_gates(tables.published, tables.published, CFG).collect()
     assert all(r["passed"] for r in got)
+
+
+def test_each_date_is_held_alone(spark):
+    """Rows without stock on one date fail, however many good rows other dates have."""
+    good = [("2018-01-01", *GOOD)] * 1000 + [("2018-01-08", *GOOD)] * 980
+    bad = [("2018-01-15", None, 12.0, True)] * 40
+    df = spark.createDataFrame(good + bad, "calc_date string, " + SCHEMA).withColumn("calc_date", F.to_date("calc_date"))
+    failed = {(str(r["calc_date"]), r["check"]) for r in run_gates_by_date(df, None, CFG).filter("not passed").collect()}
+    assert failed == {("2018-01-15", "null parameters pct"), ("2018-01-15", "row count drop pct")}
+    earlier = df.filter("calc_date = '2018-01-01'").withColumn("calc_date", F.lit("2018-01-12").cast("date"))
+    again = run_gates_by_date(df.filter("calc_date = '2018-01-08'"), df.unionByName(earlier), CFG)
+    drop = again.filter("check = 'row count drop pct'").first()
+    assert drop["value"] == pytest.approx(2.0)

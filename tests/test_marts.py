@@ -120,6 +120,19 @@ def test_facts_drop_unknown_products_and_fan_out_on_repeated_ones(spark):
     assert sorted((r["product_id"], r["category"]) for r in facts.collect()) == [("p", "x"), ("q", "y"), ("q", "z")]
 
 
+def test_rollup_by_product_equals_rollup_of_facts(spark):
+    orders = _orders(spark, [("1", "2018-01-05", "2018-01-01", 4, 6), ("2", "2018-01-09", "2018-01-02", 7, None)])
+    items = _items(spark, [(o, str(k), p, "s", Decimal(k + 1), Decimal(2)) for o in "12" for k, p in enumerate(("p", "q", "q", "gone"))])
+    products = spark.createDataFrame([("p", "x"), ("q", "x"), ("q", "z")], "product_id string, category string")
+    straight = marts.weekly_rollup(marts.order_line_facts(orders, items, products))
+    folded = marts.series_rollup(marts.product_rollup(orders, items, PolicyConfig()), products)
+
+    def rows(df):
+        return {(r["category"], r["purchase_week"]): {k: v and int(v) for k, v in r.asDict().items() if k not in ("category", "seller_id", "purchase_week")} for r in df.collect()}
+
+    assert rows(straight) == rows(folded) and len(rows(folded)) == 2
+
+
 def test_seller_versions(spark):
     orders = _orders(
         spark,
@@ -134,7 +147,8 @@ def test_seller_versions(spark):
     items = _items(spark, [("1", "1", "p", "s", one, one), ("2", "1", "p", "s", one, one), ("2", "2", "p", "s", one, one),
                            ("3", "1", "p", "s", one, one), ("4", "1", "p", "t", one, one)])
     sellers = spark.createDataFrame([("s", "city", "st")], "seller_id string, city string, state string")
-    dim = marts.dim_seller(orders, items, sellers, PolicyConfig())
+    dim = marts.dim_seller(marts.product_rollup(orders, items, PolicyConfig()), sellers)
+    marts.assert_unique_keys(dim)
     rows = {(r["seller_id"], r["valid_from"].year): r for r in dim.collect()}
     assert set(rows) == {("s", 2017), ("s", 2018), ("t", 2017)}
     old, new = rows["s", 2017], rows["s", 2018]
@@ -142,10 +156,12 @@ def test_seller_versions(spark):
     assert (old["valid_to"], old["is_current"]) == (dt.date(2017, 12, 31), False)
     assert (new["valid_to"], new["is_current"]) == (None, True)
     assert rows["t", 2017]["state"] is None and rows["t", 2017]["is_current"]
-    again = marts.dim_seller(orders, items.repartition(5), sellers, PolicyConfig())
+    again = marts.dim_seller(marts.product_rollup(orders, items.repartition(5), PolicyConfig()), sellers)
     assert {r["seller_key"] for r in again.collect()} == {r["seller_key"] for r in rows.values()}
     assert len({r["seller_key"] for r in rows.values()}) == 3
-    bare = marts.dim_seller(orders, items, None, PolicyConfig())
+    bare = marts.dim_seller(marts.product_rollup(orders, items, PolicyConfig()), None)
+    with pytest.raises(ValueError, match="not unique"):
+        marts.assert_unique_keys(dim.unionByName(dim))
     assert bare.columns == dim.columns and bare.filter("city is not null").isEmpty()
 
 

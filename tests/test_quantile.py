@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from stockpolicy.operators.quantile import exact_percentile, frequency_percentile
+from stockpolicy.operators import quantile
+from stockpolicy.operators.quantile import exact_percentile
 
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
@@ -30,8 +31,10 @@ def test_large_input_orders_only_the_bracket(spark):
     assert exact_percentile(df, "v", 0.5).first()["value"] == 99999.5
 
 
-def test_frequency_percentile(spark):
-    df = spark.createDataFrame([(1, 5), (2, 3), (9, 2), (1, 1)], "lines int, products int")
-    values = [1] * 6 + [2] * 3 + [9] * 2
-    got = frequency_percentile(df, "lines", "products", 0.5).first()["value"]
-    assert got == float(np.median(values))
+
+def test_brackets_narrow_until_few_rows_are_left(spark, monkeypatch):
+    monkeypatch.setattr(quantile, "ORDERED_ROWS", 50)
+    df = spark.range(60_000).selectExpr("double((id * 7919) % 60000 div 3) v")
+    for p in (0.0, 0.31, 1.0):
+        want = float(np.quantile(np.arange(60_000) // 3, p))
+        assert exact_percentile(df, "v", p).first()["value"] == pytest.approx(want)
