@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +19,27 @@ from pyspark.sql.pandas.types import to_arrow_schema
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once per application.
+
+    Python functions travel by name, so workers must be able to import them; they need not
+    have the package installed, nor the driver's working folder.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="code-")), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _sent.add(sc.applicationId)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's texts, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
@@ -32,6 +57,7 @@ def map_batches(
 
     Batches without rows are skipped, so `run` never sees one.
     """
+    send_package(df.sparkSession)
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(schema)
 
@@ -71,7 +97,7 @@ def fresh(name: str, columns: list[str]) -> str:
     return name
 
 
-def by_size(texts: list, limit: int = 4 << 20) -> Iterator[slice]:
+def by_size(texts: list, limit: int = 2 << 20) -> Iterator[slice]:
     """Consecutive slices of a batch of about `limit` characters, one text at least.
 
     Bounds what a task holds beside the batch; no text is cut.

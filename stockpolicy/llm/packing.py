@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockpolicy.functions.session import stored
-from stockpolicy.llm.common import map_batches, texts_of
+from stockpolicy.llm.common import map_batches, send_package, texts_of
 
 CAPACITY = 2048
 END = b"\0\0\0\0"  # id 0 after every document
@@ -231,6 +231,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS,
     Pieces are dealt to shards by hash, and a shard packs alone: it has a bounded number of
     rows, and loses part of one sequence against packing everything at once. Runs a count.
     """
+    send_package(cut.sparkSession)
     shards = max(1, math.ceil(cut.count() / shard_rows))
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(shards)))
     schema = T.StructType([*cut.schema.fields, *(T.StructField(c, T.LongType()) for c in ("sequence_id", "offset"))])
