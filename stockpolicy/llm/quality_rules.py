@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -24,14 +25,15 @@ from stockpolicy.llm.common import by_size, bytes_of, fresh, map_batches
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
 
-COUNTS = "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_upper".split()
+COUNTS = "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_upper n_again".split()
 
 # Ratio by measure: numerator, denominator; and the least distance that its limit keeps
 # from the middle of the group, so that a uniform group does not reject harmless rows.
 MEASURES = {
     "symbols": ("n_symbols", "n_words", 0.3),
     "upper": ("n_upper", "word_chars", 0.4),
-    "repeats": ("n_repeat_words", "n_words", 0.25),
+    "repeats": ("n_repeat_words", "n_words", 0.3),
+    "again": ("n_again", "n_words", 0.2),
     "dup_lines": ("n_dup_lines", "n_lines", 0.5),
     "word_length": ("word_chars", "n_words", 4.0),
 }
@@ -97,15 +99,17 @@ def text_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
         parts["word_chars"].append(_per_text(((raw & 0xC0) != 0x80) & ~space, ends))
         parts["n_symbols"].append(_per_text(_SYMBOL[raw], ends))
         parts["n_upper"].append(_per_text(_UPPER[raw], ends))
-        words, counts, lines, dups = [], [], [], []
+        words, counts, again, lines, dups = [], [], [], [], []
         for t in some:
             own = t.split()
             words += own
             counts.append(len(own))
+            again.append(sum(map(eq, own, own[1:])))  # words equal to the one before
             with_word = [x for x in t.split(b"\n") if x.strip()]
             lines.append(len(with_word))
             dups.append(len(with_word) - len(set(with_word)))
         parts["n_words"].append(counts)
+        parts["n_again"].append(again)
         parts["n_lines"].append(lines)
         parts["n_dup_lines"].append(dups)
         parts["n_repeat_words"].append(repeated_words(words, np.array(counts, np.int64)))
@@ -308,13 +312,15 @@ def oracle() -> str:
             FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM twice) GROUP BY doc_id),
     lines AS (SELECT doc_id, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines FROM (
               SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d)),
+    again AS (SELECT doc_id, count(*) AS n_again FROM (SELECT doc_id, unnest(w[2:]) AS a, unnest(w[:-2]) AS b FROM d) WHERE a = b GROUP BY doc_id),
     counts AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
                  length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
                  (length(text) - length(regexp_replace(text, '{symbols}', '', 'g')))::BIGINT AS n_symbols,
                  n_lines::BIGINT AS n_lines, n_dup_lines::BIGINT AS n_dup_lines,
                  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-                 (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper
-               FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+                 (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper,
+                 coalesce(n_again, 0)::BIGINT AS n_again
+               FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN again USING (doc_id)),
     good AS (SELECT * FROM counts WHERE NOT {failed}),
     sketch AS (SELECT lang, source, measure,
                  CASE WHEN x > 0 THEN ceil(ln(x) / {math.log(GAMMA)!r}::DOUBLE)::INT ELSE {ZERO} END AS bucket, count(*) AS n

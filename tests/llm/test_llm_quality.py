@@ -27,14 +27,14 @@ def test_counts():
     got = quality_rules.text_counts([text.encode(), b""])
     assert {c: v.tolist() for c, v in got.items()} == {
         "n_words": [5, 0], "word_chars": [12, 0], "n_symbols": [3, 0], "n_lines": [3, 0],
-        "n_dup_lines": [1, 0], "n_repeat_words": [0, 0], "n_upper": [2, 0],
+        "n_dup_lines": [1, 0], "n_repeat_words": [0, 0], "n_upper": [2, 0], "n_again": [0, 0],
     }
 
 
 def test_sketch_quantiles_are_close(spark):
     rng = np.random.default_rng(3)
     x = rng.lognormal(1, 0.7, 4000)
-    rows = [("en", "s", 1000, int(v * 1000), 0, 1, 0, 0, 0) for v in x]
+    rows = [("en", "s", 1000, int(v * 1000), 0, 1, 0, 0, 0, 0) for v in x]
     counts = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{c} long" for c in quality_rules.COUNTS))
     q = quality_rules._quartiles(quality_rules.sketches(counts), ["lang", "source"]).filter("measure = 'word_length'").first()
     for got, want in zip((q["q1"], q["q2"], q["q3"]), np.quantile(x, [0.25, 0.5, 0.75])):
