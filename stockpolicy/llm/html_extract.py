@@ -13,6 +13,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stockpolicy.llm import boosting
 from stockpolicy.llm.common import bounded_sample, map_batches, texts_of
@@ -430,8 +431,16 @@ def examples(pages: list[str], seed: int = 11, drawn: int = 500) -> tuple[np.nda
 
 
 def train(pages: DataFrame) -> boosting.Forest:
-    """Fit on at most SAMPLE pages of the table, always the same ones. Runs a job."""
-    rows = bounded_sample(pages.select("page_id", "html"), "page_id", SAMPLE).collect()
+    """Fit on at most SAMPLE pages of the table, always the same ones. Runs jobs.
+
+    The sampled ids, of that bounded number, go to where the pages are. Of rows that repeat a
+    sampled id one is read.
+    """
+    named = pages.filter("page_id IS NOT NULL").select("page_id")
+    ids = F.broadcast(bounded_sample(named.distinct(), "page_id", SAMPLE))
+    found = pages.select("page_id", "html").join(ids, "page_id")
+    rows = found.groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    rows.sort(key=lambda r: r["page_id"])
     return boosting.fit(*examples([r["html"] or "" for r in rows]), classes=3)
 
 
