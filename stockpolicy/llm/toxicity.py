@@ -27,7 +27,7 @@ LEXICON = (
     "imbécile crétin stupide ordure minable débile "
     "idiotisch dummkopf abschaum trottel widerlich erbärmlich"
 ).split()
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_OTHER = 4000, 6000, 2000  # texts to train on; the bound of the fit
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_OTHER = 2500, 4000, 1000  # texts to train on; the bound of the fit
 STEMS = (4, 5, 6, 7, 8, 9)  # lengths of word beginnings
 VOTERS, TERMS = 400, 3000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -216,14 +216,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on bounded samples: labelled toxic and clean texts, and others. Runs jobs.
 
     Only labels whose id's crc32 is not 2 modulo 4 are read. The sampled ids, of that bounded
-    number, go to where the texts are; terms are counted there.
+    number, go to where the texts are; terms are counted there. Of rows that repeat a
+    sampled id one is read.
     """
     open_ = labels.filter((crc32_mod("doc_id", 4) != 2) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     ids = bounded_sample(open_.filter("toxic = 1").select("doc_id", F.lit(1).alias("y")), "doc_id", SAMPLE_TOXIC)
     ids = ids.unionByName(bounded_sample(open_.filter("toxic = 0").select("doc_id", F.lit(0).alias("y")), "doc_id", SAMPLE_CLEAN))
     others = bounded_sample(docs.filter("doc_id IS NOT NULL").select("doc_id"), "doc_id", SAMPLE_OTHER)
     ids = ids.unionByName(others.join(ids, "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int")))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = texts_of(batch)
