@@ -137,11 +137,12 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, n_grades: i
     """Fit on at most `sample` rated rows, always the same ones.
 
     ratings: doc_id, grade from 0. Null grades and ids do not count. Features are made
-    where the texts are; the sampled ids go there, as a table of that bounded size. Runs a job.
+    where the texts are; the sampled ids go there, as a table of that bounded size. Of rows that repeat a sampled id one is read. Runs jobs.
     """
     rated = ratings.filter("grade IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "grade")
     chosen = F.broadcast(bounded_sample(rated, "doc_id", sample))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("grade").cast("int"))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").cast("int").alias("grade"))
 
     def run(batch: pa.RecordBatch) -> dict:
         found = [features(t) for t in texts_of(batch)]

@@ -1,6 +1,7 @@
 import itertools
 import re
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -57,6 +58,12 @@ def test_mix_meets_its_targets(spark, documents):
     pd.testing.assert_frame_equal(*(x.sort_values("doc_id", ignore_index=True) for x in (got, again)))
 
 
+def test_sizes_and_targets_equal_sql(documents):
+    rows = duckdb.sql(mixing.oracle().replace("FROM documents", f"FROM '{SMALL}/documents.parquet'")).fetchall()
+    got = mixing.taken(documents).select("doc_id", "size", "source_size", "target").collect()
+    assert sorted(rows) == sorted(tuple(r) for r in got)
+
+
 def test_shards_and_slots(spark, documents):
     _, plan, mixed = mixing.mix(documents, shard_blocks=64)
     slots, plan = mixed.toPandas(), plan.toPandas().set_index("source")
