@@ -106,7 +106,8 @@ def within(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
     first = F.coalesce(
         *(F.when(diff.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(t)) for t, m in enumerate(masks))
     )
-    met = left.join(right, ["table", "masked"])
+    # A row becomes one per table here, which Spark's size estimates leave out: no broadcast.
+    met = left.hint("merge").join(right, ["table", "masked"])
     near = met.filter((F.bit_count(diff) <= radius) & (F.col("table") == first))
     return near.select("q", "f", F.bit_count(diff).alias("distance"))
 
