@@ -23,7 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE, STOP = 1.5, 2  # of all sizes, and of a source's own
 BLOCK = 128  # words
 SHARD_BLOCKS = 4096
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 ROUNDS = 6
 
 
