@@ -26,6 +26,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark nobr q s samp "
     "small span strike strong sub sup time tt u var wbr picture source".split()
 )
+HEAD = set("base basefont bgsound link meta noframes noscript".split())  # beside raw ones, what a head holds
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {  # an open element of this kind ends where one of these begins
     "p": set(
@@ -95,17 +96,18 @@ class Page:
         now = [0] * COUNTERS
         root = self._open("body", -1, 0, now)
         stack: list[tuple[str, int]] = [("body", root)]  # element, its block node
-        links, run, skip = 0, -1, ""
+        links, run, skip = 0, -1, False  # skip: in the head, whose end tag may be left out
         at = 0
 
         def text(s: str) -> None:
-            nonlocal run
-            if skip or not s:
+            nonlocal run, skip
+            if not s:
                 return
             s = html.unescape(s)
             if s.isspace():
                 self.pieces.append((-1, " "))
                 return
+            skip = False  # a head has no text of its own
             if run < 0:
                 run = self._open("#text", stack[-1][1], 0, now)
             self.pieces.append((run, s))
@@ -138,9 +140,9 @@ class Page:
             if not tag:
                 continue
             if skip:
-                if m["end"] and tag == skip:
-                    skip = ""
-                continue
+                skip = tag in HEAD or bool(m["end"]) and tag not in ("head", "body", "html", "br")
+                if skip or tag == "head":
+                    continue
             if m["end"]:
                 for d in range(len(stack) - 1, 0, -1):
                     if stack[d][0] == tag:
@@ -155,7 +157,7 @@ class Page:
                 self.groups[root] |= _groups(m["attrs"])
                 continue
             if tag == "head":
-                skip = "head"
+                skip = True
                 continue
             now[2] += 1
             if tag == "br":

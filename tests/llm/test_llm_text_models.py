@@ -80,6 +80,29 @@ def test_broken_pages_are_read(source, forest):
     assert isinstance(html_extract.main_texts([source], forest)[0], str)
 
 
+def whole(source):
+    page = html_extract.Page(source)
+    return page.text(np.zeros(len(page.tag), int))
+
+
+@pytest.mark.parametrize("source", [
+    "<html><head><meta charset=utf-8><title>x</title><body><article><p>a b</p><p>c</p></article></body></html>",
+    "<head><title>x</title><link href=y><style>p {}</style><article><p>a b<p>c</article>",
+    "<head><noscript><link href=y></noscript><script>z</script><body class=post>a b <p>c",
+    "<head><title>x</title>a b<p>c",
+    "<head></body><p>a b</p>c",
+    "<html><head><title>x</title></head><body><p>a b</p>c</body></html>",
+])
+def test_head_without_an_end_tag(source):
+    assert whole(source) == "a b c"
+
+
+def test_article_of_a_page_without_head_end(pages, forest):
+    for r in pages.orderBy("page_id").limit(20).collect():
+        cut = re.sub("</head>|</?body[^>]*>", "", r["html"])
+        assert html_extract.main_texts([cut], forest)[0] == article(r["html"])
+
+
 def test_references_space_and_breaks():
     page = html_extract.Page("<article><p>a&nbsp;&lt;b&gt;<b>c</b>d\n  e<br>f</p><p>g</p></article>")
     assert page.text(np.zeros(len(page.tag), int)) == "a <b>cd e f g"
