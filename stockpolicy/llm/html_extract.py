@@ -21,7 +21,8 @@ from stockpolicy.llm.common import bounded_sample, map_batches, texts_of
 SAMPLE = 240  # pages to train on; the bound of the fit
 
 # HTML's element kinds.
-RAW = "script style textarea title noscript template iframe svg select button object canvas audio video math"
+RAW = "script style textarea title template iframe"  # their content is no text
+FOREIGN = {"svg", "math"}  # what is inside runs on in its line, and "/>" ends an element
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark nobr q s samp "
     "small span strike strong sub sup time tt u var wbr picture source".split()
@@ -34,8 +35,12 @@ CLOSED_BY = {  # an open element of this kind ends where one of these begins
         "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split()
     ),
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
+    "button": {"button"}, "select": {"select"},
     "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
 }
+BREAKS_OUT = CLOSED_BY["p"] | CLOSED_BY["td"] | set(  # an open svg or math ends where one of these begins
+    "b big br button code em embed i img input listing nobr object ruby s select small span strong strike sub sup tt u var".split()
+)
 SCOPES = {"table", "ul", "ol", "dl", "div", "section", "article", "main", "body", "td", "blockquote", "form"}
 
 TOKEN = re.compile(
@@ -45,6 +50,7 @@ TOKEN = re.compile(
     r"|</?[a-z][^>]*>|<[!?/][^>]*>",
     re.S | re.I,
 )
+CLOSED_RAW = re.compile(r"<[a-z]+(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>", re.I)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ATTRIBUTE_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -96,7 +102,7 @@ class Page:
         now = [0] * COUNTERS
         root = self._open("body", -1, 0, now)
         stack: list[tuple[str, int]] = [("body", root)]  # element, its block node
-        links, run, skip = 0, -1, False  # skip: in the head, whose end tag may be left out
+        links, foreign, run, skip = 0, 0, -1, False  # skip: in the head, whose end tag may be left out
         at = 0
 
         def text(s: str) -> None:
@@ -124,18 +130,22 @@ class Page:
             self.pieces.append((-1, " "))
 
         def pop_to(depth: int) -> None:
-            nonlocal links
+            nonlocal links, foreign
             while len(stack) > depth:
                 name, node = stack.pop()
-                if name == "a":
-                    links -= 1
-                elif name not in INLINE:
+                foreign -= name in FOREIGN
+                links -= name == "a"
+                if not stack or stack[-1][1] != node:
                     end_run()
                     self.closed[node] = now.copy()
 
-        for m in TOKEN.finditer(source):
+        while m := TOKEN.search(source, at):
             text(source[at : m.start()])
+            if m["raw"] and foreign:
+                m = CLOSED_RAW.match(source, m.start()) or m
             at = m.end()
+            if m.re is CLOSED_RAW:
+                continue
             tag = (m["tag"] or "").lower()
             if not tag:
                 continue
@@ -159,6 +169,14 @@ class Page:
             if tag == "head":
                 skip = True
                 continue
+            if foreign and tag in BREAKS_OUT:
+                pop_to(next(d for d, (name, _) in enumerate(stack) if name in FOREIGN))
+            if foreign or tag in FOREIGN:
+                if not m["attrs"].endswith("/"):
+                    foreign += tag in FOREIGN
+                    links += tag == "a"
+                    stack.append((tag, stack[-1][1]))
+                continue
             now[2] += 1
             if tag == "br":
                 self.pieces.append((-1, " "))

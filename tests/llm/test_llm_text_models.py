@@ -97,6 +97,25 @@ def test_head_without_an_end_tag(source):
     assert whole(source) == "a b c"
 
 
+@pytest.mark.parametrize("source", [
+    "<p><svg class=icon viewBox='0 0 9 9'/>a b</p>c",
+    "<p><math/>a <svg><path d=m /><style/><title/><g>b</g></svg></p>c",
+    "<svg><path d=m><p>a b<div>c</div>",
+    "<p>a <math><mi>b</mi></math></p><noscript>c</noscript>",
+    "<p>a <object data=x>b</object> <video><source src=x>c</video></p>",
+    "<button>a<p>b</p><div><select><option>c</div>",
+    "<script>x<p></script><p>a<style>y</style> b<textarea>z</textarea><template><p>w</p></template></p><iframe>v</iframe>c",
+])
+def test_only_raw_elements_lose_their_text(source):
+    assert whole(source) == "a b c"
+
+
+def test_an_icon_before_the_article(pages, forest):
+    for icon in ("<svg class='icon'/>", "<math/>", "<button>", "<svg><path d='m'>"):
+        for r in pages.orderBy("page_id").limit(10).collect():
+            assert html_extract.main_texts([r["html"].replace("<article>", icon + "<article>")], forest)[0] == article(r["html"])
+
+
 def test_article_of_a_page_without_head_end(pages, forest):
     for r in pages.orderBy("page_id").limit(20).collect():
         cut = re.sub("</head>|</?body[^>]*>", "", r["html"])
