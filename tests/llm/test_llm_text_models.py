@@ -212,6 +212,15 @@ def test_planted_passages(spark):
     assert len(got) <= 5 * got.doc_id.nunique()
 
 
+def test_a_passage_held_twice(spark):
+    rng = np.random.default_rng(17)
+    passage = words(rng, 80)
+    rows = [(i, " ".join(words(rng, 60) + passage + words(rng, 60) + (passage if i % 2 else []) + words(rng, 20))) for i in range(1, 8)]
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    for i in range(1, 8):
+        assert set(got[(got.doc_id == i) & (got.end_word - got.start_word >= 80)].start_word) >= {60, *([200] if i % 2 else [])}
+
+
 def test_every_run_shares_a_seed():
     rng = np.random.default_rng(9)
     run = [w.encode() for w in words(rng, substring_dedup.SHINGLE + substring_dedup.WINDOW - 1)]
