@@ -212,6 +212,28 @@ def test_planted_passages(spark):
     assert len(got) <= 5 * got.doc_id.nunique()
 
 
+def test_a_passage_whose_heads_differ(spark):
+    """Heads that hold either half only, alone and in crowds."""
+    for seed, heads in ((19, [(3, 100), (4, 101)]), (23, [(1, 2, 3, 4, 100, 101), (5, 6, 7, 102, 103, 104)])):
+        rng = np.random.default_rng(seed)
+        passage = words(rng, 80)
+        rows = [(i, " ".join(words(rng, 90) + passage[40 * h : 40 * h + 40] + words(rng, 90))) for h in (0, 1) for i in heads[h]]
+        rows += [(i, " ".join(words(rng, 50) + passage + words(rng, 50))) for i in (50, 60)]
+        got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+        assert set(zip(got.doc_id, got.other_doc_id)) == {(50, 60), (60, 50)}
+        assert (got.start_word <= 50).all() and (got.end_word >= 130).all()
+
+
+def test_a_passage_beyond_another(spark):
+    """Two texts share 80 words, of which the heads hold the first 60."""
+    rng = np.random.default_rng(29)
+    passage = words(rng, 80)
+    rows = [(i, " ".join(words(rng, 50) + passage[: 80 if i in (50, 60) else 60] + words(rng, 50))) for i in (1, 2, 50, 60, 90)]
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert set(got.doc_id) == {1, 2, 50, 60, 90}
+    assert (got[got.doc_id.isin([50, 60])].groupby("doc_id").end_word.max() >= 130).all()
+
+
 def test_a_passage_held_twice(spark):
     rng = np.random.default_rng(17)
     passage = words(rng, 80)
