@@ -4,6 +4,7 @@ import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
+from support import SMOKE
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -26,19 +27,9 @@ def spark():
     session.stop()
 
 
-SMOKE = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def tables(spark):
     """The sf0.001 fixture, shared so that its stored rollup is built once."""
     from checks.queries import Tables
 
     return Tables(spark, SMOKE)
-
-
-def plan_of(df) -> str:
-    """The physical plan after execution, as adaptive execution left it."""
-    df._jdf.collectToPython()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]

@@ -2,7 +2,7 @@ import datetime as dt
 from functools import reduce
 
 import pytest
-from conftest import SMOKE
+from support import SMOKE
 from pyspark.sql import DataFrame
 
 from checks.fixture import CFG

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of
+from support import plan_of
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig

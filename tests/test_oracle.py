@@ -6,7 +6,7 @@ One query per area by default; CHECK_ALL=1 runs every registered one.
 import os
 
 import pytest
-from conftest import SMOKE, plan_of
+from support import SMOKE, plan_of
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from support import plan_of
 
 from stockpolicy.config import PolicyConfig
 from stockpolicy.operators.segment import classify_abc, classify_xyz, cumulative_share

@@ -78,7 +78,7 @@ def test_latest(spark, path):
 
 
 def test_latest_prunes_partitions(spark, path):
-    from conftest import plan_of
+    from support import plan_of
 
     S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "a")), path)
     plan = plan_of(S.latest_snapshot(S.read_snapshots(spark, path)).select("seller_id"))
@@ -96,7 +96,7 @@ def test_layers_overwrite(spark, path):
 
 
 def test_fact_window_reads_one_year_and_pushes_down(spark, path, tables):
-    from conftest import plan_of
+    from support import plan_of
 
     from checks.fixture import CALC_DATE
     from stockpolicy.operators.stats import demand_stats, trailing_demand

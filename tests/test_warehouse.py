@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import SMOKE
+from support import SMOKE
 
 from checks.fixture import CALC_DATE, CFG
 from checks.queries import FOREIGN, Tables, comparable, to_foreign
