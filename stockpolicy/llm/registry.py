@@ -11,6 +11,7 @@ from checks.workspace import ensure_workspace
 from stockpolicy.llm import (
     fingerprints,
     html_extract,
+    merkle,
     mixing,
     near_dedup,
     packing,
@@ -19,6 +20,7 @@ from stockpolicy.llm import (
     secret_scan,
     substring_dedup,
     toxicity,
+    whitening,
 )
 
 
@@ -71,6 +73,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampering_check(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(_table(spark, sf_dir, "embeddings"))
+    # A long holds it while n * n * trace does; beyond that the operator's decimal is needed.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,10 +101,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_near_dedup,
         op9_html_extract,
         op10_toxicity,
+        op11_merkle,
+        op12_whitening,
         pipeline,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.oracle()}
+    return {"op2_quality_rules": quality_rules.oracle(), "op11_merkle": merkle.oracle()}
