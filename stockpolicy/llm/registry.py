@@ -19,6 +19,7 @@ from stockpolicy.llm import (
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_groups,
     toxicity,
     whitening,
 )
@@ -83,6 +84,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,10 +108,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_toxicity,
         op11_merkle,
         op12_whitening,
+        op13_jaccard_join,
         pipeline,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.oracle(), "op11_merkle": merkle.oracle()}
+    return {
+        "op2_quality_rules": quality_rules.oracle(),
+        "op11_merkle": merkle.oracle(),
+        "op13_jaccard_join": token_groups.oracle(),
+    }
