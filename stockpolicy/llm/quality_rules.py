@@ -32,7 +32,6 @@ COUNTS = "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_uppe
 MEASURES = {
     "symbols": ("n_symbols", "n_words", 0.3),
     "upper": ("n_upper", "word_chars", 0.4),
-    "repeats": ("n_repeat_words", "n_words", 0.3),
     "again": ("n_again", "n_words", 0.2),
     "dup_lines": ("n_dup_lines", "n_lines", 0.5),
     "word_length": ("word_chars", "n_words", 4.0),
@@ -44,8 +43,9 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 ZERO = -100_000  # the bucket of zero
 SPREADS = 4.0
-MIN_ROWS = 200  # smaller groups take the merged sketch of their language, then of all rows
-BROADCAST_GROUPS = 100_000  # about 20 MB of limits
+# A group's quartiles count as many rows as it has, its language's as PRIOR rows more; those of
+# the language are drawn to all rows' in the same way. So limits change smoothly with a group's size.
+PRIOR = 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -174,7 +174,11 @@ def _quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """(lang, source, low_<measure>, high_<measure>) of every group in the sketch."""
+    """(lang, source, low_<measure>, high_<measure>) of every group in the sketch.
+
+    Quartiles of a group are drawn towards its language's, and these towards all rows', as far as
+    PRIOR rows weigh against its own.
+    """
     own = _quartiles(sketch, ["lang", "source"]).alias("s")
     lang = _quartiles(sketch, ["lang"]).alias("l")
     all_ = _quartiles(sketch, []).alias("a")
@@ -182,12 +186,12 @@ def limits(sketch: DataFrame) -> DataFrame:
         lang, F.col("s.lang").eqNullSafe(F.col("l.lang")) & (F.col("s.measure") == F.col("l.measure"))
     ).join(all_, F.col("s.measure") == F.col("a.measure"))
 
+    def drawn(own: str, q: str, towards: Column) -> Column:
+        n = F.col(f"{own}.total")
+        return (n * F.col(f"{own}.{q}") + PRIOR * towards) / (n + PRIOR)
+
     def pick(q: str) -> Column:
-        return (
-            F.when(F.col("s.total") >= MIN_ROWS, F.col(f"s.{q}"))
-            .when(F.col("l.total") >= MIN_ROWS, F.col(f"l.{q}"))
-            .otherwise(F.col(f"a.{q}"))
-        )
+        return drawn("s", q, drawn("l", q, F.col(f"a.{q}")))
 
     table = joined.select(
         F.col("s.lang").alias("lang"), F.col("s.source").alias("source"),
@@ -203,11 +207,6 @@ def limits(sketch: DataFrame) -> DataFrame:
     return table.groupBy("lang", "source").agg(*sides)
 
 
-def _checked_broadcast(table: DataFrame) -> DataFrame:
-    """A broadcast hint where the table has few enough rows, else Spark's own choice."""
-    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
-
-
 def _verdict(names: dict[str, str], edge) -> Column:
     """Kept or not. A group all of whose rows fail the base rule has no limits, and needs none."""
     failed = base_failed(F.col(names["n_words"]), F.col(names["n_repeat_words"]))
@@ -232,7 +231,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     names = {c: c for c in COUNTS}
     counts = stored(with_counts(docs, ["doc_id", "lang", "source"], names), "counts")
-    table = _checked_broadcast(stored(limits(sketches(counts)), "limits"))
+    table = stored(limits(sketches(counts)), "limits")
     judged = counts.join(table, _same_group(counts, table), "left")
     return judged.select(
         "doc_id",
@@ -257,9 +256,7 @@ def apply_rules(docs: DataFrame) -> DataFrame:
     for c in [*COUNTS, "lang", "source", *edges]:
         renamed[c] = fresh(f"rule_{c}", taken)
         taken.append(renamed[c])
-    table = _checked_broadcast(stored(small, "limits")).withColumnsRenamed(
-        {c: renamed[c] for c in small.columns}
-    )
+    table = stored(small, "limits").withColumnsRenamed({c: renamed[c] for c in small.columns})
     own = {c: renamed[c] for c in COUNTS}
     counted = with_counts(docs, docs.columns, own)
     same = counted["lang"].eqNullSafe(F.col(renamed["lang"])) & counted["source"].eqNullSafe(
@@ -291,7 +288,8 @@ def oracle() -> str:
           GROUP BY {comma}measure)"""
 
     pick = ", ".join(
-        f"CASE WHEN s.total >= {MIN_ROWS} THEN s.q{q} WHEN l.total >= {MIN_ROWS} THEN l.q{q} ELSE a.q{q} END AS q{q}"
+        f"(s.total * s.q{q} + {PRIOR} * ((l.total * l.q{q} + {PRIOR} * a.q{q}) / (l.total + {PRIOR})))"
+        f" / (s.total + {PRIOR}) AS q{q}"
         for q in (1, 2, 3)
     )
     sides, outside = [], []

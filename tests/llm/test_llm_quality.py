@@ -67,6 +67,33 @@ def test_a_source_is_held_against_itself(spark):
     assert dropped == [5000]
 
 
+def test_limits_change_smoothly_with_a_group(spark):
+    """A loud source of growing size: its own limit takes over without a step."""
+    plain = "some words of quiet prose that go on for a while and never repeat at all in this row number {} okay then good"
+    base = [(i, plain.format(i), "en", "plain", 1) for i in range(400)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    highs = []
+    for n in (1, 30, 99, 100, 101, 199, 200, 201, 2000, 8000):
+        rows = base + [(1000 + i, plain.upper().format(i), "en", "loud", 1) for i in range(n)]
+        counts = quality_rules.with_counts(spark.createDataFrame(rows, schema), ["lang", "source"], {c: c for c in quality_rules.COUNTS})
+        limit = quality_rules.limits(quality_rules.sketches(counts)).filter("source = 'loud'").first()
+        highs.append(limit["high_upper"])
+    assert highs[0] < 1 < highs[-1]
+    # No step anywhere: a row more or less moves a limit by little, and it settles at the group's own.
+    assert max(abs(highs[i] - highs[i + 1]) for i in (2, 3, 5, 6)) < 0.03 and abs(highs[-1] - highs[-2]) < 0.1
+
+
+def test_mid_level_junk_is_dropped_where_groups_are_large(spark):
+    rng = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(500)]
+    rows = [(i, " ".join(rng.choice(words, 60)) + ".", "en", f"s{i % 2}", 1) for i in range(800)]
+    junk = {9001: " ".join(w + "##" for w in rng.choice(words, 60)), 9002: " ".join(np.repeat(rng.choice(words, 30), 2)), 9003: " ".join(w * 9 for w in rng.choice(words, 40))}
+    rows += [(k, t, "en", "s0", 1) for k, t in junk.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    dropped = {r["doc_id"] for r in quality_rules.judge(docs).filter("NOT kept").collect()}
+    assert dropped == set(junk)
+
+
 def test_limits_stay_in_order_and_grades_are_told_apart():
     rng = np.random.default_rng(0)
     texts, grades = [], []
@@ -108,6 +135,29 @@ def test_held_out_accuracy_and_odd_rows(spark, documents, odd, nothing):
     assert not bare.weights.any()
 
 
+def test_missing_labels_give_no_grade(spark, documents):
+    rows = [(1, 0, None), (2, 1, 0), (3, 1, 1), (4, None, 1), (5, None, None), (6, 1, None), (7, 0, 1), (None, 1, 0)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["grade"] for r in quality_classifier.graded(labels).collect()}
+    want = {1: 0, 2: 2, 3: 1, 4: None, 5: None, 6: None, 7: 0, None: 2}
+    assert got == {k: v for k, v in want.items() if k is None or zlib.crc32(str(k).encode()) % 4 != 2}
+    only_null = spark.createDataFrame([(i, None, None) for i in range(50)], labels.schema)
+    assert not quality_classifier.train(documents, quality_classifier.graded(only_null)).weights.any()
+
+
+def test_scores_equal_brute_force(spark, documents):
+    """Expected grade and tail probability against the formula, text by text."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = quality_classifier.train(documents, quality_classifier.graded(labels))
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.select("doc_id", "text").collect()}
+    for r in quality_classifier.score(documents, model).filter("doc_id % 10 = 0").collect():
+        places, values = quality_classifier.features(texts[r["doc_id"]])
+        score = sum(float(v) * float(model.weights[p]) for p, v in zip(places, values))
+        tails = [1 / (1 + np.exp(limit - score)) for limit in model.limits]
+        assert r["expected_grade"] == pytest.approx(sum(tails)) and r["tail_probability"] == pytest.approx(tails[0])
+        assert r["kept"] == (tails[0] >= 0.5)
+
+
 @pytest.mark.parametrize("name", ["op2_quality_rules"])
 def test_sql(spark, name):
     import __spark_entry__ as entry
