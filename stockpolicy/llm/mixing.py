@@ -116,29 +116,35 @@ def permuted(index: np.ndarray, n: np.ndarray, seed: np.ndarray) -> np.ndarray:
 
 
 def shard_counts(plan: DataFrame, seed: int, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
-    """(source, shard, n): how many slots of each source each output shard draws.
+    """(source, shard, n): how many slots of each source each output shard draws, if any.
 
     plan: source, slots. A shard's counts are one multinomial draw by the sources'
     shares of all slots, seeded by the shard's number, so shards are independent and
-    reruns agree. Draws miss a source's total by chance; `slots_of` settles that.
-    The list of sources goes to every task, one row per source.
+    reruns agree. The last shard is as large as what is left, so all slots are drawn however few
+    they are. Draws miss a source's total by chance; `slots_of` settles that.
+    The list of sources, one row each, comes to the driver and goes to every task: about
+    50 bytes a source, so a million sources are 50 MB.
     """
     rows = plan.select("source", "slots").collect()
     rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     total = sum(r["slots"] for r in rows)
     spark = plan.sparkSession
     names, shares = [r["source"] for r in rows], np.array([r["slots"] / max(1, total) for r in rows])
-    shards = total // shard_blocks
+    shards = -(-total // shard_blocks)
     schema = T.StructType(
         [plan.schema["source"], T.StructField("shard", T.LongType()), T.StructField("n", T.LongType())]
     )
 
     def run(batch: pa.RecordBatch) -> dict:
         ids = batch.column("id").to_numpy()
-        drawn = np.concatenate(
-            [np.random.default_rng([seed, int(i)]).multinomial(shard_blocks, shares) for i in ids]
-        )
-        return {"source": names * len(ids), "shard": np.repeat(ids, len(names)), "n": drawn}
+        source, shard, n = [], [], []
+        for i in ids.tolist():
+            drawn = np.random.default_rng([seed, i]).multinomial(min(shard_blocks, total - i * shard_blocks), shares)
+            some = np.flatnonzero(drawn)
+            source += [names[s] for s in some]
+            shard += [i] * len(some)
+            n += drawn[some].tolist()
+        return {"source": source, "shard": shard, "n": n}
 
     return map_batches(spark.range(shards), schema, run)
 
@@ -148,7 +154,7 @@ def slots_of(plan: DataFrame, seed: int, shard_blocks: int = SHARD_BLOCKS) -> Da
 
     Drawn beyond a source's total: left out. Not drawn: put into closing shards.
     """
-    drawn = shard_counts(plan, seed, shard_blocks).filter("n > 0")
+    drawn = shard_counts(plan, seed, shard_blocks)
     upto = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     counted = drawn.select("source", "shard", F.sum("n").over(upto).alias("stop"), "n")
     ends = plan.select(F.col("source").alias("s"), "slots")

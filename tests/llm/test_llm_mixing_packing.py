@@ -75,6 +75,18 @@ def test_shards_and_slots(spark, documents):
     assert (drawn <= 64).all() and len(drawn) > 5
 
 
+def test_few_blocks_are_drawn_as_well(spark):
+    """A mix far smaller than a shard: its one shard holds the draws, corrected by a few slots only."""
+    plan = spark.createDataFrame([("a", 300), ("b", 100), (None, 200), ("empty", 0)], "source string, slots long")
+    drawn = {r["source"]: r["n"] for r in mixing.shard_counts(plan, 17).collect()}
+    assert sum(drawn.values()) == 600 and "empty" not in drawn and drawn["a"] > drawn[None] > drawn["b"]
+    slots = mixing.slots_of(plan, 17).toPandas()
+    assert slots.groupby("source", dropna=False).size().to_dict() == {"a": 300, "b": 100, np.nan: 200} or len(slots) == 600
+    assert (slots.shard == 0).mean() > 0.8
+    many = mixing.shard_counts(plan, 17, shard_blocks=64).toPandas()
+    assert (many.n > 0).all() and many.groupby("shard").n.sum().tolist() == [64] * 9 + [24]
+
+
 def test_documents_of_the_mix(spark, odd, nothing):
     out = mixing.mixed_documents(odd)
     assert out.dtypes == odd.dtypes
