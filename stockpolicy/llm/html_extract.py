@@ -268,9 +268,10 @@ class Page:
 
     def decode(self, logs: np.ndarray) -> np.ndarray:
         """Main or other for every node: the likeliest labelling in which a node that is
-        all main, or all other, has only such nodes below."""
+        all main, or all other, has only such nodes below. A form is never all main."""
         n = len(self.tag)
         pure = logs[:, :2].copy()
+        pure[np.array(self.tag) == TAGS.index("form"), MAIN] = -np.inf
         mixed = logs[:, MIXED].copy()
         leaf = np.ones(n, bool)
         leaf[np.array(self.parent[1:], int)] = False
@@ -347,8 +348,10 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
     def one(options):
         return options[rng.integers(len(options))]
 
+    bare = chance(0.25)  # a page without classes and ids
+
     def attr(words):
-        if chance(0.25):
+        if bare or chance(0.25):
             return ""
         word = one(words.split()) + one(["", "", "-wrap", "_1", "-box", " clearfix", "-area"])
         return f' {one(["class", "class", "id"])}="{word}"'
@@ -360,6 +363,14 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
         items = "".join(f'<li><a href="/{i}">{say(pick(short), False)}</a></li>' for i in range(n))
         return f"<ul>{items}</ul>" if chance(0.7) else "".join(f'<a href="/{i}">{say(pick(short), False)}</a> ' for i in range(n))
 
+    def anchor(main):
+        return f'<a href="/{rng.integers(99)}">{say(pick(short), main)}</a>'
+
+    def linked(main):
+        """A sentence of a few words and one to three links."""
+        words = " ".join(pick(paragraphs).split()[: rng.integers(1, 12)])
+        return f"{say(words, main)} " + f" {say(one(['and', 'or', 'see']), main)} ".join(anchor(main) for _ in range(rng.integers(1, 4))) + "."
+
     def prose(n, main):
         out = []
         for _ in range(n):
@@ -367,9 +378,16 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
             out.append(one([
                 f"<p>{say(t, main)}</p>", f"<p>{say(t, main)}</p>", f"<p>{say(t, main)}",
                 f"<div>{say(t, main)}</div>", f"{say(t, main)}<br><br>", f"<p><b>{say(t, main)}<br>",
+                f"<p>{say(t, main)} {anchor(main)} {say(t[:40], main)}</p>", f"<p>{linked(main)}</p>",
             ]))
         return "".join(out)
 
+    def sources():
+        """A list of links that belongs to the article."""
+        items = "".join(f"<li>{one([anchor(True), anchor(True), linked(True)])}</li>" for _ in range(rng.integers(1, 6)))
+        list_ = one(["ul", "ol"])
+        return f"<{list_}>{items}</{list_}>"
+
     def block(tags, words, inner):
         tag = one(tags.split())
         return f"<{tag}{attr(words)}>{inner}</{tag}>"
@@ -380,7 +398,8 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
     side = lambda: block("aside aside div", "sidebar related widget recommended trending", f"<h3>{say(pick(short), False)}</h3>" + (links(rng.integers(2, 7)) if chance(0.6) else prose(rng.integers(1, 3), False)))
     ad = lambda: f'<div class="{one("ad ads advert sponsor promo advertisement".split())}">{say(pick(paragraphs)[: rng.integers(20, 300)], False)}</div>'
     notice = lambda: f'<div class="{one("cookie notice consent popup newsletter alert modal".split())}{one(["", "-bar", " show"])}">{prose(1, False)}{one(["", "<button>OK</button>"])}</div>'
-    form = lambda: f'<form action="/x"{attr("search login form subscribe contact")}><label>{say(pick(short), False)}</label><input name="q">{say(pick(short), False) if chance(0.5) else ""}</form>'
+    field = lambda: one([f'<label>{say(pick(short), False)}</label><input name="q">', f'<p>{say(pick(short), False)}</p><input type="text">', f'<button>{say(pick(short), False)}</button>', say(pick(paragraphs)[:80], False)])
+    form = lambda: f'<form action="/x"{attr("search login form subscribe contact")}>{"".join(field() for _ in range(rng.integers(1, 4)))}</form>'
     comments = lambda: f'<{(t := one(["section", "div", "ol"]))} {one(["class", "id"])}="{one(["comments", "comment-list", "replies", "discussion"])}"><h3>{say(pick(short), False)}</h3>' + "".join(f'<div class="{one(["comment", "reply", "comment-body"])}">{prose(rng.integers(1, 3), False)}</div>' for _ in range(rng.integers(1, 5))) + f"</{t}>"
     share = lambda: block("div ul", "share social buttons toolbar", links(rng.integers(2, 5)))
     inner = f"<{(h := one(['h1', 'h1', 'h2']))}>{say(pick(short), True)}</{h}>"
@@ -394,10 +413,16 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
             inner += f"<blockquote>{prose(1, True)}</blockquote>"
         if chance(0.12):
             inner += f"<table><tr><td>{say(pick(short), True)}</td><td>{say(pick(short), True)}</td></tr></table>"
+        if chance(0.3):
+            inner += sources()
         if chance(0.1):
-            inner += one([ad, share, form, notice, side])()
+            inner += one([ad, share, notice, side])()
+        if chance(0.15):
+            inner += form()
     if chance(0.15):
         inner = f"<header>{inner.split('</h', 1)[0]}</{h}></header>" + inner.split(f"</{h}>", 1)[1]
+    if chance(0.25):
+        inner += f"<p>{linked(True)}</p>"
     if chance(0.2):
         inner += comments()
     if chance(0.3):
@@ -417,7 +442,7 @@ def composed(rng: np.random.Generator, paragraphs: list[str], short: list[str])
     return f"<html><head><title>x</title></head><body>{body}</body></html>"
 
 
-def examples(pages: list[str], seed: int = 11, drawn: int = 500) -> tuple[np.ndarray, np.ndarray]:
+def examples(pages: list[str], seed: int = 11, drawn: int = 700) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of nodes: of the pages whose markup names their article, and of pages
     composed from their texts in drawn layouts, where every text's label is known."""
     xs, ys, paragraphs, short = [], [], [], []
