@@ -23,7 +23,8 @@ from stockpolicy.llm.common import send_package
 SCALE, SHIFT = 1024, 100_000
 LARGEST = 2.0**40  # entries above it do not fit the exact sums
 GUARD = 24  # directions carried beside the wanted ones
-DEGREE = 24  # of a filter at most
+DEGREE = 256  # of a filter at most
+GAIN = 1e6  # that a filter is to give the last direction wanted over the unwanted ones
 CONTRAST = 1e9  # most that a filter may raise the first direction over the last one wanted
 CERTIFIED = 2e-13  # residual over the largest eigenvalue
 ROUNDS = 60
@@ -141,14 +142,16 @@ class Components:
     passes: int
 
 
-def filter_degree(values: np.ndarray, wanted: int, low: float, high: float) -> int:
-    """Highest degree whose contrast between the first and the last wanted direction stays bounded.
+def filter_degree(first: float, last: float, low: float, high: float, most: int = DEGREE) -> int:
+    """Degree that raises the eigenvalue `last` by GAIN over those in [low, high].
 
-    Beyond that the columns would turn into copies of the first direction.
+    At most the one whose contrast between `first` and `last` stays bounded: beyond that the
+    columns would turn into copies of the first direction.
     """
     mid, half = (high + low) / 2, (high - low) / 2
-    grow = [np.arccosh(max((values[i] - mid) / half, 1.0)) for i in (0, wanted - 1)]
-    return int(np.clip(np.log(CONTRAST) / max(grow[0] - grow[1], 1e-9), 1, DEGREE))
+    first, last = (np.arccosh(max((v - mid) / half, 1.0)) for v in (first, last))
+    bounded = np.log(CONTRAST) / max(first - last, 1e-9)
+    return int(np.clip(min(np.arccosh(GAIN) / max(last, 1e-9), bounded), 1, most))
 
 
 def chebyshev_filter(
@@ -171,15 +174,22 @@ def chebyshev_filter(
 def leading(apply: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int, seed: int = 0) -> Components:
     """The `wanted` leading eigenpairs of the operator `apply`, certified by their residuals.
 
-    Not settling within ROUNDS raises. Directions whose eigenvalue is zero to double precision
-    are left out, so a covariance of low rank gives fewer.
+    Pairs that are certified already are locked: the filter runs on the others, with the locked directions
+    taken out of the operator, so a few large eigenvalues do not hide the rest. Not settling
+    within ROUNDS raises. Directions whose eigenvalue is zero to double precision are left
+    out, so a covariance of low rank gives fewer.
     """
     width = min(dim, wanted + GUARD)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, width)))[0]
-    passes, best, stale = 0, np.inf, 0
-    for _ in range(ROUNDS):
-        vq = apply(q)
+    passes, best = 0, np.inf
+
+    def counted(block: np.ndarray) -> np.ndarray:
+        nonlocal passes
         passes += 1
+        return apply(block)
+
+    for i in range(ROUNDS):
+        vq = counted(q)
         small = q.T @ vq
         values, turn = np.linalg.eigh((small + small.T) / 2)
         values, turn = values[::-1], turn[:, ::-1]
@@ -189,26 +199,25 @@ def leading(apply: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int, se
             return Components(np.zeros((dim, 0)), np.zeros(0), np.zeros(0), passes)
         positive = int((values[:wanted] > 1e-12 * top).sum())
         residuals = np.linalg.norm(vq - q * values, axis=0)[:positive]
-        worst = residuals.max()
-        if worst <= CERTIFIED * top:
+        good = residuals <= CERTIFIED * top
+        if good.all():
             return Components(q[:, :positive], values[:positive], residuals, passes)
-        stale = stale + 1 if worst > best / 2 else 0
-        best = min(best, worst)
-        if width == dim:  # the block spans the space: one Rayleigh-Ritz step is all there is
+        best = min(best, residuals.max())
+        locked = int(np.argmin(good))
+        if width == dim:  # the block spans the space: Rayleigh-Ritz alone settles it
             q = np.linalg.qr(q)[0]
-            if stale > 3:
-                break
             continue
-        # Unwanted: from zero (a covariance has nothing below) to the block's last value.
-        high = max(values[-1], 1e-14 * top)
-        degree = filter_degree(values, wanted, 0.0, high)
+        kept = q[:, :locked]
 
-        def count(block: np.ndarray) -> np.ndarray:
-            nonlocal passes
-            passes += 1
-            return apply(block)
+        def deflated(block: np.ndarray) -> np.ndarray:
+            image = counted(block - kept @ (kept.T @ block))
+            return image - kept @ (kept.T @ image)
 
-        q = np.linalg.qr(chebyshev_filter(count, q, vq, degree, 0.0, high, top))[0]
+        # Unwanted: from zero (a covariance has nothing below) to the block's last value.
+        high = max(values[-1], 1e-14 * top)
+        degree = filter_degree(values[locked], values[positive - 1], 0.0, high, min(DEGREE, 8 << i))
+        rest = chebyshev_filter(deflated, q[:, locked:], vq[:, locked:], degree, 0.0, high, values[locked])
+        q = np.linalg.qr(np.hstack([kept, rest]))[0]
     raise RuntimeError(f"eigenvectors not certified: residual {best / top:.1e} of the largest eigenvalue")
 
 

@@ -2,9 +2,10 @@
 
 import hashlib
 import zlib
+from functools import reduce
 
 import duckdb
-import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpolicy.llm import merkle
@@ -69,24 +70,17 @@ def test_documents_equal_brute_force(documents):
     same(merkle.tampering_check(documents).collect(), brute_force(rows))
 
 
-def test_several_tiers_equal_brute_force(documents, monkeypatch):
-    """Blocks of one level and of eight nodes, so that versions go on through many tiers."""
-    monkeypatch.setattr(merkle, "LEVELS", 1)
-    monkeypatch.setattr(merkle, "BLOCK", 8)
-    some = documents.withColumn("lang", F.concat("lang", (F.col("doc_id") % 40).cast("string")))
-    # Workers import the module afresh, so blocks there keep four levels: compare the driver's own functions.
-    levels = merkle.levels_of([str(i) for i in range(8)], 100)
-    assert [len(x) for x in levels] == [8, 1]
-    monkeypatch.undo()
-    same(merkle.tampering_check(some).collect(), brute_force(some.collect()))
-
-
-@pytest.mark.parametrize("n", [1, 7, 8, 9, 64, 65, 4095, 4096, 4097, 40_000])
-def test_sizes_around_a_run_and_a_block(spark, n):
+def test_sizes_around_a_run_and_a_block(spark):
+    """One language per size, and more languages than a run holds; some trees have two tiers."""
+    sizes = [1, 2, 7, 8, 9, 63, 64, 65, 512, 513, 4095, 4096, 4097, 33_000]
     text = F.concat(F.lit("Text "), F.col("id").cast("string"))
-    docs = spark.range(n).select(
-        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(1).alias("n_chars")
-    )
+    parts = [
+        spark.range(n).select(
+            F.col("id").alias("doc_id"), text.alias("text"), F.lit(f"l{n}").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(1).alias("n_chars")
+        )
+        for n in sizes
+    ]
+    docs = reduce(DataFrame.unionByName, parts)
     same(merkle.tampering_check(docs).collect(), brute_force(docs.collect()))
 
 

@@ -49,7 +49,7 @@ def test_odd_rows(spark):
     """Nulls, NaN and infinity, ragged and empty vectors fall out; repeats, a null key and clashing columns stay."""
     rng = np.random.default_rng(1)
     good = [(i, rng.normal(size=5).tolist()) for i in range(40)] + [(7, [1.0] * 5), (7, [1.0] * 5), (None, [2.0] * 5)]
-    bad = [(90, None), (91, [1.0, None, 0, 0, 0]), (92, [math.nan] * 5), (93, [math.inf, 0, 0, 0, 0]), (94, []), (95, [1.0])]
+    bad = [(90, None), (91, [1.0, None, 0.0, 0.0, 0.0]), (92, [math.nan] * 5), (93, [math.inf, 0.0, 0.0, 0.0, 0.0]), (94, []), (95, [1.0])]
     wide = SCHEMA + ", key string, x string, n string, component string, whitened string"
     df = spark.createDataFrame([(*r, *"abcde") for r in good + bad], wide).repartition(4)
     rows = whitening.whitened(df).collect()
