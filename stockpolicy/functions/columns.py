@@ -82,6 +82,13 @@ def sd_from_sums(n: Column, total: Column, squares: Column) -> Column:
     return F.when(n > 1, F.sqrt(spread / pairs)).otherwise(F.lit(0.0))
 
 
+def sd_of_moments(n: Column, total: Column, squares: Column) -> Column:
+    """Sample sd from exact sums of values and squares; NULL when there are fewer than two values."""
+    s, ss = total.cast("double"), squares.cast("double")
+    spread = F.greatest(ss - s * s / n, F.lit(0.0)) / (n - 1)
+    return F.when(n > 1, F.sqrt(spread))
+
+
 def z_value(service_level: float) -> float:
     """Standard normal quantile of a service level."""
     return NormalDist().inv_cdf(float(service_level))

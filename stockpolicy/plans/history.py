@@ -1,26 +1,28 @@
-"""Parameters as of many calculation dates in one job."""
+"""Parameters as of many calculation dates in one job.
+
+A fact enters the window of some date and leaves it again 26 weeks later, so it is two
+signed entries on the line of dates, whatever the number of dates. Entries of a series
+are summed per date, and a running total over these sums is what each date sees.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
-from stockpolicy.functions.columns import date_lit
+from stockpolicy.functions.columns import date_lit, sd_of_moments
 from stockpolicy.functions.session import stored
-from stockpolicy.operators.marts import (
-    DAY_SUMS,
-    duration_stats,
-    sum_of_sums,
-    weekly_rollup,
-)
+from stockpolicy.operators.marts import DAY_SUMS, duration_stats, weekly_rollup
 from stockpolicy.operators.policy import freshness_columns, policy_columns
-from stockpolicy.operators.stats import aggregate_window, finish_window
+from stockpolicy.operators.stats import finish_window
 from stockpolicy.schemas import QUANTITY, SERIES
 
 DATED = ["calc_date", *SERIES]
+SQUARE, MONEY = "decimal(38,8)", "decimal(38,8)"
+
 
 def _sorted_dates(dates) -> list[dt.date]:
     days = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in dates})
@@ -29,18 +31,78 @@ def _sorted_dates(dates) -> list[dt.date]:
     return days
 
 
-def window_weeks(spark: SparkSession, dates: list[dt.date], weeks: int) -> DataFrame:
-    """(purchase_week, calc_date) for every Monday in every date's window.
+def first_date(day: str, days: list[dt.date]) -> Column:
+    """Place in the sorted `days` of the first one that is not before the expression `day`.
 
-    Dates x weeks local rows, so Spark knows the size and chooses the join. Joining the
-    fact to it on the week is an equi-join, where a window predicate per date would
-    be a range join.
+    len(days) where there is none. Halved step by step, so a row costs the logarithm of the
+    number of dates and no join.
     """
-    rows = []
-    for d in dates:
-        last = d - dt.timedelta(d.weekday())
-        rows += [(last - dt.timedelta(7 * k), d) for k in range(weeks)]
-    return spark.createDataFrame(rows, "purchase_week date, calc_date date")
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        return f"IF({day} <= DATE'{days[middle]}', {search(low, middle)}, {search(middle + 1, high)})"
+
+    return F.expr(search(0, len(days)))
+
+
+def running_totals(
+    entries: DataFrame, days: list[dt.date], sums: list[str], least: tuple | list = (), most: tuple | list = ()
+) -> DataFrame:
+    """What each date sees of each series: sums, minima and maxima of the entries up to it.
+
+    entries: series, `at` (place of the first date that counts the entry) and the columns named.
+    They are summed per series and date before any window, which then holds a row per date
+    with news; a date without news repeats the last one. Dates before the first entry have no row.
+    """
+    folds = [(F.sum, sums), (F.min, least), (F.max, most)]
+    per_date = (
+        entries.filter(F.col("at") < len(days))
+        .groupBy(*SERIES, "at")
+        .agg(*(fold(c).alias(c) for fold, columns in folds for c in columns))
+    )
+    ordered = Window.partitionBy(*SERIES).orderBy("at")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    until = F.coalesce(F.lead("at").over(ordered), F.lit(len(days))) - 1
+    calendar = F.array(*(date_lit(d) for d in days))
+    totals = per_date.select(
+        *SERIES,
+        F.slice(calendar, F.col("at") + 1, until - F.col("at") + 1).alias("seen"),
+        *(fold(c).over(so_far).alias(c) for fold, columns in folds for c in columns),
+    )
+    return totals.withColumn("calc_date", F.explode("seen")).drop("seen")
+
+
+def _signed(sign: int, at: Column, sums: dict[str, Column], rest: dict[str, Column]) -> Column:
+    """An entry that adds or takes away `sums`; `rest` counts once, when the fact enters."""
+    once = (c if sign > 0 else F.nullif(c, c) for c in rest.values())
+    return F.struct(
+        at.alias("at"),
+        *((c if sign > 0 else -c).alias(name) for name, c in sums.items()),
+        *(c.alias(name) for name, c in zip(rest, once)),
+    )
+
+
+def entries_of(
+    facts: DataFrame, enters: Column, leaves: Column, sums: dict[str, Column], rest: dict[str, Column]
+) -> DataFrame:
+    """Two rows per fact: at the date that first sees it and at the one that no longer does."""
+    both = F.array(_signed(1, enters, sums, rest), _signed(-1, F.greatest(enters, leaves), sums, rest))
+    return facts.select(*SERIES, F.inline(both))
+
+
+def _window_stats(totals: DataFrame, weeks: int) -> DataFrame:
+    """Mean, sample sd and zero share from `weeks`, `s`, `ss` and `zeros`."""
+    n, s = F.col("weeks"), F.col("s")
+    made = totals.filter(n > 0).withColumns(
+        {
+            "demand_mean": s.cast("double") / n,
+            "demand_sd": F.coalesce(sd_of_moments(n, s, F.col("ss")), F.lit(0.0)),
+            "zero_week_share": F.col("zeros").cast("double") / n,
+        }
+    )
+    return finish_window(made, weeks).drop("s", "ss", "zeros")
 
 
 def params_history(
@@ -52,98 +114,73 @@ def params_history(
     a single run; `params_history_as_of` looks back only.
     """
     days, weeks = _sorted_dates(dates), cfg.demand_window_weeks
-    series = Window.partitionBy(*SERIES).orderBy("purchase_week")
-    so_far = series.rowsBetween(Window.unboundedPreceding, 0)
-    week = F.col("purchase_week")
-    rows = (
-        fct.filter(week <= date_lit(days[-1]))
-        .withColumn("last_sale_week", F.max(F.when(F.col("units") > 0, week)).over(so_far))
-        .filter(week > F.date_sub(date_lit(days[0]), 7 * weeks))
-        .join(window_weeks(fct.sparkSession, days, weeks), "purchase_week", "inner")
+    units, week = F.col("units").cast(QUANTITY), F.col("purchase_week")
+    sums = {
+        "weeks": F.lit(1).cast("bigint"),
+        "s": units.cast("decimal(28,4)"),
+        "ss": (units * units).cast(SQUARE),
+        "zeros": (units == 0).cast("bigint"),
+        "window_revenue": F.col("revenue").cast(MONEY),
+    }
+    entries = entries_of(
+        fct.filter(week <= date_lit(days[-1])),
+        first_date("purchase_week", days),
+        first_date(f"date_add(purchase_week, {7 * weeks})", days),
+        sums,
+        {"last_sale_week": F.when(units > 0, week)},
     )
-    inputs = finish_window(
-        rows.groupBy(*DATED).agg(
-            *aggregate_window(F.col("units"), F.col("revenue")),
-            F.max("last_sale_week").alias("last_sale_week"),
-        ),
-        weeks,
-    )
-    joined = inputs.join(fulfilment, SERIES, "inner")
+    totals = running_totals(entries, days, list(sums), most=["last_sale_week"])
+    joined = _window_stats(totals, weeks).join(fulfilment, SERIES, "inner")
     return policy_columns(
         freshness_columns(joined, F.col("calc_date"), cfg), cfg, by=["calc_date"]
     )
 
 
 def _known_rollup(facts: DataFrame, days: list[dt.date]) -> DataFrame:
-    """Weekly rollup split by `known_at`, the first date by which the line was received.
+    """Weekly rollup split by `known`, the place of the first date by which the line was received.
 
     A line is received after it was bought, so by that date both are known. Lines that no
     date sees fall out. Stored, so the line-level join behind it runs once.
     """
-    first, at, calendar = days[0], 0, []
-    for day in (first + dt.timedelta(k) for k in range((days[-1] - first).days + 1)):
-        at += day > days[at]
-        calendar.append((day, days[at]))
-    known = facts.sparkSession.createDataFrame(calendar, "known_day date, known_at date")
-    received = F.greatest("delivered_date", "purchase_date", date_lit(first))
-    dated = facts.withColumn("known_day", received).join(known, "known_day")
-    return stored(weekly_rollup(dated, "known_at"), "known")
-
-
-def _window_as_of(known: DataFrame, days: list[dt.date], weeks: int) -> DataFrame:
-    """Sums over the weeks of each date's window with a sale known by the date, per series."""
-    units, revenue = F.coalesce("units", F.lit(0)).cast(QUANTITY), F.coalesce("revenue", F.lit(0))
-    seen = known.join(window_weeks(known.sparkSession, days, weeks), "purchase_week")
-    per_week = (
-        seen.filter("known_at <= calc_date")
-        .groupBy(*DATED, "purchase_week")
-        .agg(F.sum(units).alias("u"), F.sum(revenue).alias("window_revenue"))
-    )
-    u = F.col("u").cast("double")
-    return per_week.groupBy(*DATED).agg(
-        F.sum(u).alias("s"),
-        F.sum(u * u).alias("ss"),
-        F.count_if(F.col("u") != 0).alias("sold_weeks"),
-        F.sum("window_revenue").alias("window_revenue"),
-    )
+    known = first_date("greatest(delivered_date, purchase_date)", days)
+    dated = facts.withColumn("known", known).filter(F.col("known") < len(days))
+    return stored(weekly_rollup(dated, "known"), "known")
+
 
+def _entries_as_of(known: DataFrame, days: list[dt.date], weeks: int) -> tuple[DataFrame, list[str]]:
+    """Entries of late-known sales, and the names of those that are summed.
 
-def _totals_as_of(known: DataFrame, days: list[dt.date], cfg: PolicyConfig) -> DataFrame:
-    """Per series and date: duration sums, and weeks, units and extent of the sales known by then."""
+    A week whose units grow from u to v by lines known later adds v - u, and v*v - u*u to the
+    squares, when these become known. All of a week's entries leave the window together.
+    """
+    of_week = Window.partitionBy(*SERIES, "purchase_week").orderBy("known")
+    so_far = of_week.rowsBetween(Window.unboundedPreceding, 0)
+    units = F.coalesce("units", F.lit(0)).cast(QUANTITY)
+    now, before = F.col("now").cast(QUANTITY), (F.col("now") - F.col("units")).cast(QUANTITY)
     week = F.col("purchase_week")
-    first_seen = F.min("known_at").over(Window.partitionBy(*SERIES, "purchase_week"))
-    units = F.coalesce("units", F.lit(0))
-    sums = (
-        known.withColumn("is_new", (F.col("known_at") == first_seen).cast("bigint"))
-        .groupBy(*SERIES, "known_at")
-        .agg(
-            *sum_of_sums(),
-            F.sum("is_new").alias("active_weeks"),
-            F.sum(units).alias("total_units"),
-            F.min(week).alias("first_week"),
-            F.max(week).alias("last_week"),
-            F.max(F.when(units > 0, week)).alias("last_sale_week"),
-        )
-    )
-    by_date = Window.partitionBy(*SERIES).orderBy("known_at")
-    so_far = by_date.rowsBetween(Window.unboundedPreceding, 0)
-    totals = sums.select(
-        *SERIES,
-        "known_at",
-        F.lead("known_at").over(by_date).alias("next_known"),
-        *(F.sum(c).over(so_far).alias(c) for c in (*DAY_SUMS, "active_weeks", "total_units")),
-        F.min("first_week").over(so_far).alias("first_week"),
-        *(F.max(c).over(so_far).alias(c) for c in ("last_week", "last_sale_week")),
-    ).filter(
-        (F.col("n_lines") >= cfg.min_deliveries)
-        & (F.col("active_weeks") >= cfg.min_weeks_history)
-        & (F.col("total_units") >= cfg.min_units_history)
+    # One shuffle by series serves the weeks, the sums per date and the running totals.
+    steps = (
+        known.repartition(*SERIES)
+        .withColumn("units", units)
+        .withColumns({"now": F.sum("units").over(so_far), "first": F.row_number().over(of_week) == 1})
     )
-    all_dates = F.array(*(date_lit(d) for d in days))
-    from_, until = F.col("known_at"), F.col("next_known")
-    valid = F.filter(all_dates, lambda d: (d >= from_) & (until.isNull() | (d < until)))
-    dated = totals.withColumn("calc_date", F.explode(valid)).drop("known_at", "next_known")
-    return duration_stats(dated)
+    window_sums = {
+        "s": F.col("units").cast("decimal(28,4)"),
+        "ss": (now * now - before * before).cast(SQUARE),
+        "sold_weeks": (now != 0).cast("bigint") - (before != 0).cast("bigint"),
+        "window_revenue": F.coalesce("revenue", F.lit(0)).cast(MONEY),
+    }
+    totals = {
+        c: F.col(c).cast("decimal(30,0)") if c.endswith("_sq") else F.col(c) for c in DAY_SUMS
+    } | {
+        "active_weeks": F.col("first").cast("bigint"),
+        "total_units": F.col("units").cast("decimal(28,4)"),
+        "first_week": week,
+        "last_week": week,
+        "last_sale_week": F.when(F.col("units") > 0, week),
+    }
+    leaves = first_date(f"date_add(purchase_week, {7 * weeks})", days)
+    return entries_of(steps, F.col("known"), leaves, window_sums, totals), [*window_sums, *DAY_SUMS, "active_weeks", "total_units"]
 
 
 def params_history_as_of(facts: DataFrame, dates, cfg: PolicyConfig) -> DataFrame:
@@ -154,21 +191,18 @@ def params_history_as_of(facts: DataFrame, dates, cfg: PolicyConfig) -> DataFram
     between a series' first and last known sale week and inside the window.
     """
     days, weeks = _sorted_dates(dates), cfg.demand_window_weeks
-    known = _known_rollup(facts, days)
-    joined = _window_as_of(known, days, weeks).join(_totals_as_of(known, days, cfg), DATED)
+    entries, sums = _entries_as_of(_known_rollup(facts, days), days, weeks)
+    totals = running_totals(entries, days, sums, least=["first_week"], most=["last_week", "last_sale_week"])
+    modelled = totals.filter(
+        (F.col("n_lines") >= cfg.min_deliveries)
+        & (F.col("active_weeks") >= cfg.min_weeks_history)
+        & (F.col("total_units") >= cfg.min_units_history)
+    )
     monday = F.date_sub("calc_date", F.weekday("calc_date"))
     opens = F.greatest("first_week", F.date_sub(monday, 7 * (weeks - 1)))
     n = (F.datediff("last_week", opens) / 7 + 1).cast("bigint")
-    rows, s, ss = F.col("weeks"), F.col("s"), F.col("ss")
-    spread = F.greatest(ss - s * s / rows, F.lit(0.0)) / (rows - 1)
-    inputs = joined.withColumn("weeks", n).withColumns(
-        {
-            "demand_mean": s / rows,
-            "demand_sd": F.when(rows > 1, F.sqrt(spread)).otherwise(F.lit(0.0)),
-            "zero_week_share": (rows - F.col("sold_weeks")).cast("double") / rows,
-        }
-    )
-    inputs = finish_window(inputs, weeks).drop("s", "ss", "sold_weeks", "first_week", "last_week")
+    counted = modelled.withColumn("weeks", n).withColumn("zeros", F.col("weeks") - F.col("sold_weeks"))
+    inputs = duration_stats(_window_stats(counted, weeks)).drop("sold_weeks", "first_week", "last_week")
     return policy_columns(
         freshness_columns(inputs, F.col("calc_date"), cfg), cfg, by=["calc_date"]
     )

@@ -2,8 +2,9 @@ import datetime as dt
 from functools import reduce
 
 import pytest
-from support import SMOKE
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from support import SMOKE, plan_of
 
 from checks.fixture import CFG
 from stockpolicy.operators import marts, policy
@@ -46,12 +47,39 @@ def test_as_of_equals_marts_built_from_the_past_only(spark, tables):
     same(many, reduce(DataFrame.unionByName, parts))
 
 
-def test_window_weeks(spark):
-    got = history.window_weeks(spark, [dt.date(2018, 8, 31), dt.date(2018, 8, 27)], 26).collect()
-    assert len(got) == 52
-    for r in got:
-        assert r["purchase_week"].weekday() == 0
-        assert r["calc_date"] - dt.timedelta(7 * 26) < r["purchase_week"] <= r["calc_date"]
+def test_first_date(spark):
+    days = [dt.date(2020, 1, d) for d in (3, 4, 9, 20)]
+    df = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-01-22')) day")
+    for r in df.select("day", history.first_date("day", days).alias("at")).collect():
+        assert r["at"] == sum(d < r["day"] for d in days)
+    assert df.limit(1).select(history.first_date("day", [])).first()[0] == 0
+
+
+@pytest.mark.parametrize("dates", [DATES, [dt.date(2001, 1, 1) + dt.timedelta(i) for i in range(120)]])
+def test_facts_are_not_spread_over_dates(tables, dates):
+    """However many dates: two entries a fact, and no join with the dates."""
+    plan = plan_of(tables.history(dates))
+    assert "Range" not in plan.split("FileScan")[0] and "LocalTableScan" not in plan
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_entries_are_two_per_fact(tables):
+    days = [dt.date(2000, 1, 1) + dt.timedelta(i) for i in range(400)]
+    fct = tables.fct
+    entries = history.entries_of(
+        fct, history.first_date("purchase_week", days), history.first_date("date_add(purchase_week, 182)", days),
+        {"n": F.lit(1)}, {"last": F.col("purchase_week")},
+    )
+    assert entries.count() == 2 * fct.count()
+    assert entries.agg(F.sum("n"), F.count("last")).first() == (0, fct.count())
+
+
+def test_many_daily_dates_equal_single_runs(tables):
+    """Dates between weeks, before the first sale and long after the last one."""
+    days = [dt.date(1995, 1, 1), dt.date(2001, 7, 29), dt.date(2001, 7, 30), dt.date(2001, 7, 31), dt.date(2010, 1, 1)]
+    many = to_published(tables.history(days))
+    singles = [to_published(tables.params_at(d), d) for d in days]
+    same(many, reduce(DataFrame.unionByName, singles))
 
 
 def test_dates_are_needed(tables):
