@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _left: dict[str, SparkSession] = {}
+_tables: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of the path, and the path as its object."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name on shared storage; the folder goes when the program ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -48,14 +56,39 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_count(df: DataFrame, name: str = "stored") -> tuple[DataFrame, int]:
+    """`stored`, and the rows written, observed by the job that writes them."""
+    seen = Observation()
+    held = stored(df.observe(seen, F.count("*").alias("n")), name)
+    return held, seen.get["n"]
+
+
+def stored_by(df: DataFrame, key: str, buckets: int, name: str = "stored") -> DataFrame:
+    """`stored`, as a table bucketed by `key`: grouping by it needs no further shuffle. Runs a job.
+
+    Only a table in the catalog carries its buckets. It is dropped with its folder.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    _tables[table] = spark
+    return spark.table(table)
+
+
 def remove_scratch() -> None:
-    """Delete the scratch folders of this program. Frames that read them stop working."""
+    """Delete the scratch folders and tables of this program. Frames that read them stop working."""
+    for table, spark in list(_tables.items()):
+        _tables.pop(table)
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # as below
+            continue
     for path, spark in list(_left.items()):
         _left.pop(path)
         try:
-            jvm = spark._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            fs, where = file_system(spark, path)
+            fs.delete(where, True)
         except Exception:  # the session is gone; its folder is left to the cluster's clean-up
             continue
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
 
 
+MEASURES = ("total", "published", "negative", "out_of_range", "missing")
+
+
 class DataQualityError(Exception):
     """At least one gate failed; nothing may be published."""
 
@@ -16,6 +21,26 @@ def _publishable(params: DataFrame) -> Column:
     return F.col("is_publishable") if "is_publishable" in params.columns else F.lit(True)
 
 
+def measures(params: DataFrame, cfg: PolicyConfig) -> dict[str, Column]:
+    """What the gates look at, as aggregates by name: for a group-by, or to be observed on a write."""
+    live = _publishable(params)
+    stock, days = F.col("ss_observed"), F.col("observed_mean_days")
+    return {
+        "total": F.count("*"),
+        "published": F.count_if(live),
+        "negative": F.count_if(live & (stock < 0)),
+        "out_of_range": F.count_if(live & ((days <= 0) | (days > cfg.max_duration_days))),
+        "missing": F.count_if(live & (stock.isNull() | F.isnan(stock))),
+    }
+
+
+def gates_of(spark: SparkSession, measured: dict[str, int], before: int | None, cfg: PolicyConfig) -> DataFrame:
+    """`run_gates` from measures that are known already, and the rows of the snapshot to compare with."""
+    row = {name: measured[name] for name in MEASURES} | {"before": before or None}
+    schema = ", ".join(f"{name} bigint" for name in row)
+    return _gates(spark.createDataFrame([tuple(row.values())], schema), cfg)
+
+
 def run_gates(params: DataFrame, previous: DataFrame | None, cfg: PolicyConfig) -> DataFrame:
     """One row per gate: check, value, threshold, passed. One pass over the parameters.
 
@@ -29,17 +54,18 @@ def run_gates(params: DataFrame, previous: DataFrame | None, cfg: PolicyConfig)
     return _gates(_counts(params, cfg).withColumn("before", F.nullif(before, F.lit(0))), cfg)
 
 
-def run_gates_by_date(params: DataFrame, published: DataFrame | None, cfg: PolicyConfig) -> DataFrame:
+def run_gates_by_date(
+    params: DataFrame, published: dict[dt.date, int] | None, cfg: PolicyConfig
+) -> DataFrame:
     """`run_gates` for each calc_date of `params`, in one aggregate: calc_date and the gate's columns.
 
     The row count of a date is held against the date before it, be that one of `params` or
-    one of `published` that `params` doesn't replace. One row per date and gate.
+    one of `published` (date to rows) that `params` doesn't replace. One row per date and gate.
     """
     counts = _counts(params, cfg, "calc_date").withColumn("new", F.lit(True))
-    if published is not None:
-        kept = published.groupBy("calc_date").agg(F.count("*").alias("total")).join(
-            counts.select("calc_date"), "calc_date", "left_anti"
-        )
+    if published:
+        rows = params.sparkSession.createDataFrame(list(published.items()), "calc_date date, total bigint")
+        kept = rows.join(counts.select("calc_date"), "calc_date", "left_anti")
         counts = counts.unionByName(kept.withColumn("new", F.lit(False)), allowMissingColumns=True)
     earlier = F.lag("total").over(Window.orderBy("calc_date"))  # a row per date
     dated = counts.withColumn("before", F.nullif(earlier, F.lit(0))).filter("new")
@@ -47,15 +73,7 @@ def run_gates_by_date(params: DataFrame, published: DataFrame | None, cfg: Polic
 
 
 def _counts(params: DataFrame, cfg: PolicyConfig, *by: str) -> DataFrame:
-    live = _publishable(params)
-    stock, days = F.col("ss_observed"), F.col("observed_mean_days")
-    return params.groupBy(*by).agg(
-        F.count("*").alias("total"),
-        F.count_if(live).alias("published"),
-        F.count_if(live & (stock < 0)).alias("negative"),
-        F.count_if(live & ((days <= 0) | (days > cfg.max_duration_days))).alias("out_of_range"),
-        F.count_if(live & (stock.isNull() | F.isnan(stock))).alias("missing"),
-    )
+    return params.groupBy(*by).agg(*(c.alias(name) for name, c in measures(params, cfg).items()))
 
 
 def _gates(counts: DataFrame, cfg: PolicyConfig, *by: str) -> DataFrame:
@@ -102,4 +120,4 @@ def enforce(gates: DataFrame) -> None:
         listing = "; ".join(
             f"{date(r)}{r['check']}: {r['value']:g} (limit {r['threshold']:g})" for r in failed
         )
-        raise DataQualityError(f"{len(failed)} quality check(s) failed: {listing}")
+        raise DataQualityError(f"not published, {len(failed)} gate(s) closed: {listing}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockpolicy.config import Mapping, PolicyConfig
 from stockpolicy.functions.columns import to_timestamp, week_start
 from stockpolicy.schemas import READINESS_REQUIRED
-from stockpolicy.sources.extracts import path_exists, read_text_csv, to_canonical
+from stockpolicy.sources.extracts import good_lines, survey, to_canonical
 
 OK, WARN, FAIL = "OK", "WARN", "FAIL"
 DATE_COLUMNS = ("ordered_at", "received_at", "promised_at")
@@ -22,27 +22,11 @@ def check_sources(
     spark: SparkSession, directory: str, mapping: Mapping, multiline: bool = True
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Canonical frames of the required sections, and every contract problem found."""
-    raw, problems = {}, []
-    for section, required in READINESS_REQUIRED.items():
-        spec = mapping.get(section)
-        if spec is None:
-            problems.append(f"mapping has no '{section}' section")
-            continue
-        path = f"{directory.rstrip('/')}/{spec.file}"
-        if not path_exists(spark, path):
-            problems.append(f"{section}: file not found at {path}")
-            continue
-        df = read_text_csv(spark, path, multiline)
-        missing = [c for c in required if spec.columns.get(c) not in df.columns]
-        if missing:
-            has = ", ".join(df.columns[:8])
-            problems += [
-                f"{section}.{c} -> '{spec.columns.get(c)}' not in {spec.file} (it has: {has})"
-                for c in missing
-            ]
-            continue
-        present = {c: s for c, s in spec.columns.items() if s in df.columns}
-        raw[section] = to_canonical(df, section, type(spec)(spec.file, present))
+    sources, problems = survey(spark, directory, mapping, READINESS_REQUIRED, multiline)
+    raw = {}
+    for s in sources:
+        present = {c: name for c, name in s.spec.columns.items() if name in s.lines.columns}
+        raw[s.section] = good_lines(to_canonical(s.lines, s.section, type(s.spec)(s.spec.file, present)))
     return raw, problems
 
 

@@ -14,22 +14,14 @@ from pyspark.sql import functions as F
 from stockpolicy.config import Mapping, PolicyConfig
 from stockpolicy.operators import marts as M
 from stockpolicy.operators import staging as S
-from stockpolicy.operators.gates import enforce, run_gates, run_gates_by_date
-from stockpolicy.operators.policy import params_from_marts, require_nonempty, run_summary
+from stockpolicy.operators.gates import enforce, gates_of, measures, run_gates_by_date
+from stockpolicy.operators.policy import SUMMARY, params_from_marts, require_nonempty, summary_measures
 from stockpolicy.plans.findings import review_grid, review_tiles, review_worst
 from stockpolicy.plans.history import params_history, params_history_as_of
 from stockpolicy.schemas import SECTIONS
-from stockpolicy.sources.extracts import assert_counts, load_raw, path_exists, raw_row_counts
+from stockpolicy.sources.extracts import BROKEN, assert_counts, broken_lines, good_lines, load_raw, path_exists
 from stockpolicy.sources.layers import read_fact, write_fact, write_layer, write_small
-from stockpolicy.sources.snapshots import (
-    assert_dates,
-    latest_snapshot,
-    publish_replace,
-    publish_upsert,
-    read_snapshots,
-    snapshot_exists,
-    to_published,
-)
+from stockpolicy.sources import snapshots
 
 
 def stage(raw: dict[str, DataFrame], cfg: PolicyConfig) -> dict[str, DataFrame]:
@@ -70,20 +62,32 @@ class Warehouse:
     def load(
         self, directory: str, mapping: Mapping, multiline: bool = True, na_values=()
     ) -> dict[str, int]:
-        """Extract to raw, then checks the row counts of what was written.
+        """Extract to raw, checking the line counts that the writes have seen.
 
         `na_values` are texts that mean a missing value, beside the empty one. With
-        `multiline` each file is read by one task.
+        `multiline` each file is read by one task. Lines of a wrong width are stored beside the
+        others, counted with them, and read by `broken_lines` only.
         """
+        counts = {}
         for section, df in load_raw(self.spark, directory, mapping, multiline, na_values).items():
-            write_layer(df, f"{self.root}/raw/{section}")
+            lines = {"lines": F.count("*"), "broken": F.count(BROKEN)}
+            counts[section] = write_layer(df, f"{self.root}/raw/{section}", measures=lines)
+        assert_counts({s: n["lines"] - n["broken"] for s, n in counts.items()}, {})
         expected = {name: spec.expected_rows for name, spec in mapping.sections.items()}
-        return assert_counts(raw_row_counts(self.raw()), expected)
+        return assert_counts({s: n["lines"] for s, n in counts.items()}, expected)
 
-    def raw(self) -> dict[str, DataFrame]:
+    def _lines(self) -> dict[str, DataFrame]:
         return _read_dir(self.spark, self.root, "raw", SECTIONS)
 
+    def raw(self) -> dict[str, DataFrame]:
+        return {section: good_lines(df) for section, df in self._lines().items()}
+
+    def broken_lines(self) -> DataFrame:
+        """(table_name, line) of all lines whose number of fields was not the header's."""
+        return broken_lines(self._lines())
+
     def build_staging(self) -> None:
+        write_layer(self.broken_lines(), f"{self.root}/staging/quarantine_lines")
         for name, df in stage(self.raw(), self.cfg).items():
             if name == "exclusions":
                 df = df.withColumn("recorded_at", F.current_timestamp())
@@ -91,7 +95,7 @@ class Warehouse:
 
     def staging(self) -> dict[str, DataFrame]:
         names = ("orders", "order_items", "products", "sellers", "exclusions", "exclusion_waterfall")
-        return _read_dir(self.spark, self.root, "staging", (*names, "quarantine"))
+        return _read_dir(self.spark, self.root, "staging", (*names, "quarantine", "quarantine_lines"))
 
     def build_marts(self) -> None:
         staging = self.staging()
@@ -116,10 +120,13 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/mart/fulfilment_stats")
 
     def snapshots(self) -> DataFrame:
-        return read_snapshots(self.spark, self.snapshots_path)
+        return snapshots.read_snapshots(self.spark, self.snapshots_path)
 
     def run(self, calc_date: dt.date | str, mode: str = "replace", against: str = "latest") -> dict:
-        """Computes, checks and publishes one date. Nothing is written if a gate fails.
+        """Computes, checks and publishes one date. Nothing is published if a gate fails.
+
+        One job computes the parameters: it writes them beside the current snapshots and observes
+        what the summary and the gates need. Then a pointer switches to them.
 
         The row count is held against the `latest` snapshot, or the latest one `before` the date.
         """
@@ -129,31 +136,38 @@ class Warehouse:
             raise ValueError(f"unknown snapshot to compare with '{against}'")
         fct, fulfilment = self.demand(last=calc_date), self.fulfilment()
         require_nonempty(fct, fulfilment)
-        params = params_from_marts(fct, fulfilment, self.cfg, calc_date).persist()
+        path = self.snapshots_path
+        out = snapshots.to_published(params_from_marts(fct, fulfilment, self.cfg, calc_date), calc_date)
+        watched = measures(out, self.cfg) | summary_measures()
+        staged = snapshots.stage(out, path, watched)
         try:
-            summary = run_summary(params).first().asDict()
-            if not summary["computed"]:
+            if not staged.measures["computed"]:
                 raise ValueError(f"nothing to publish: no series on {calc_date}")
-            previous = None
-            if snapshot_exists(self.spark, self.snapshots_path):
-                before = calc_date if against == "before" else None
-                previous = latest_snapshot(self.snapshots(), before)
-            enforce(run_gates(params, previous, self.cfg))
-            out = to_published(params, calc_date)
-            if mode == "replace":
-                publish_replace(out, self.snapshots_path)
+            known = snapshots.snapshot_rows(self.spark, path)
+            day = dt.date.fromisoformat(str(calc_date))
+            earlier = [d for d in known if against == "latest" or d < day]
+            before = known[max(earlier)] if earlier else None
+            enforce(gates_of(self.spark, staged.measures, before, self.cfg))
+            if mode == "upsert":
+                snapshots.publish_upsert(staged.read(), path, calc_date)
             else:
-                publish_upsert(out, self.snapshots_path, calc_date)
-        finally:
-            params.unpersist()
-        return summary
+                snapshots.assert_dates(staged, [calc_date])
+                snapshots.switch(staged)
+        except Exception:
+            staged.discard()
+            raise
+        if mode == "upsert":
+            staged.discard()
+        return {name: staged.measures[name] for name in SUMMARY}
 
     def backfill(self, dates, as_of: bool = False) -> None:
         """Computes, checks and publishes many dates in one go, replacing their snapshots.
 
-        With `as_of` each date sees only what was known by then. All gates hold for each
-        date alone, the row count against the date before it. A date without rows
-        is an error. Nothing is written if a gate of any date fails.
+        With `as_of` each date sees only what was known by then; this joins orders to lines
+        once more, because the stored rollup does not keep the day of receipt. All gates hold for
+        each date alone, the row count against the date before it. A date without rows
+        is an error. The parameters are computed by the write of the staged rows and checked
+        there; nothing is published if a gate of any date fails.
         """
         dates = list(dates)
         if as_of:
@@ -165,16 +179,16 @@ class Warehouse:
         else:
             latest = max(str(d) for d in dates)
             params = params_history(self.demand(last=latest), self.fulfilment(), dates, self.cfg)
-        params = params.persist()
+        path = self.snapshots_path
+        staged = snapshots.stage(snapshots.to_published(params), path)
         try:
-            require_nonempty(params)
-            assert_dates(params, dates)
-            exists = snapshot_exists(self.spark, self.snapshots_path)
-            published = self.snapshots() if exists else None
-            enforce(run_gates_by_date(params, published, self.cfg))
-            publish_replace(to_published(params), self.snapshots_path)
-        finally:
-            params.unpersist()
+            snapshots.assert_dates(staged, dates)
+            known = snapshots.snapshot_rows(self.spark, path)
+            enforce(run_gates_by_date(staged.read(), known, self.cfg))
+            snapshots.switch(staged)
+        except Exception:
+            staged.discard()
+            raise
 
     def export(self, directory: str, calc_date: dt.date | str | None = None) -> None:
         """The exclusion audit as CSV and the review datasets as JSON, one small file each."""

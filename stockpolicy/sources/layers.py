@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_layer(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet"
-) -> None:
-    """Truncate and load. Runs a job. Must not overwrite a path the plan reads."""
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    fmt: str = "parquet",
+    measures: dict[str, Column] | None = None,
+) -> dict:
+    """Truncate and load. Runs a job. Must not overwrite a path the plan reads.
+
+    Returns `measures`, aggregates observed by the job that writes.
+    """
+    seen = Observation()
+    if measures:
+        df = df.observe(seen, *(c.alias(name) for name, c in measures.items()))
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if fmt == "csv":
         # Spark trims values by default; text is written as it is.
@@ -21,6 +31,7 @@ def write_layer(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)
+    return dict(seen.get) if measures else {}
 
 
 def write_fact(df: DataFrame, path: str) -> None:

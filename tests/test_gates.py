@@ -1,8 +1,16 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
-from stockpolicy.operators.gates import DataQualityError, enforce, run_gates, run_gates_by_date
+from stockpolicy.operators.gates import (
+    DataQualityError,
+    enforce,
+    gates_of,
+    measures,
+    run_gates,
+    run_gates_by_date,
+)
 
 CFG = PolicyConfig()
 SCHEMA = "ss_observed double, observed_mean_days double, is_publishable boolean"
@@ -65,12 +73,22 @@ def test_frame_without_flag_and_empty_frame(spark):
 
 def test_enforce_lists_every_failure(spark):
     rows = spark.createDataFrame([(-1.0, 400.0, True)] * 2, SCHEMA)
-    with pytest.raises(DataQualityError, match=r"3 quality.*negative.*2.*range.*2.*drop") as e:
+    with pytest.raises(DataQualityError, match=r"3 gate.*negative.*2.*range.*2.*drop") as e:
         enforce(run_gates(rows, spark.range(100), CFG))
     assert "98" in str(e.value)
     enforce(run_gates(spark.createDataFrame([GOOD], SCHEMA), None, CFG))
 
 
+def test_gates_of_observed_measures(spark):
+    """Measures observed on a write give the gates that a pass over the rows gives."""
+    rows = spark.createDataFrame([GOOD] * 8 + [(-1.0, 400.0, True), (None, 3.0, False)], SCHEMA)
+    seen = Observation()
+    rows.observe(seen, *(c.alias(n) for n, c in measures(rows, CFG).items())).write.format("noop").mode("overwrite").save()
+    for before in (None, 0, 12):
+        known = gates_of(spark, seen.get, before, CFG).collect()
+        assert known == run_gates(rows, None if before is None else spark.range(before), CFG).collect()
+
+
 def test_a_snapshot_passes_against_itself(tables):
     got = run_gates(tables.published, tables.published, CFG).collect()
     assert all(r["passed"] for r in got)
@@ -84,6 +102,7 @@ def test_each_date_is_held_alone(spark):
     failed = {(str(r["calc_date"]), r["check"]) for r in run_gates_by_date(df, None, CFG).filter("not passed").collect()}
     assert failed == {("2018-01-15", "null parameters pct"), ("2018-01-15", "row count drop pct")}
     earlier = df.filter("calc_date = '2018-01-01'").withColumn("calc_date", F.lit("2018-01-12").cast("date"))
-    again = run_gates_by_date(df.filter("calc_date = '2018-01-08'"), df.unionByName(earlier), CFG)
+    counts = {r["calc_date"]: r["n"] for r in df.unionByName(earlier).groupBy("calc_date").agg(F.count("*").alias("n")).collect()}
+    again = run_gates_by_date(df.filter("calc_date = '2018-01-08'"), counts, CFG)
     drop = again.filter("check = 'row count drop pct'").first()
     assert drop["value"] == pytest.approx(2.0)

@@ -19,9 +19,9 @@ def test_source_problems_are_all_listed(spark, tmp_path):
     raw, problems = R.check_sources(spark, str(tmp_path), mapping)
     assert raw == {}
     text = "\n".join(problems)
-    assert "orders.received_at -> 'got' not in o.csv (it has: id, state, placed)" in text
-    assert "orders.promised_at -> 'None'" in text
-    assert "order_lines: file not found" in text and "no 'products' section" in text
+    assert "orders.received_at <- 'got', which is not in the header of o.csv (id, state, placed)" in text
+    assert "orders.promised_at is not mapped" in text
+    assert "order_lines is needed: nothing at" in text and "products is needed: no entry" in text
 
 
 def orders(spark, n, status="F", span=30 * 7):

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,12 +33,12 @@ def path(spark):
 
 def test_replace_is_idempotent_and_touches_one_date(spark, path):
     assert not S.snapshot_exists(spark, path)
-    S.publish_replace(frame(spark, D1, "ab"), path)
-    S.publish_replace(frame(spark, D2, "abc"), path)
+    S.publish_replace(frame(spark, D1, "ab"), path, [D1])
+    S.publish_replace(frame(spark, D2, "abc"), path, [D2])
     first = content(spark, path)
-    S.publish_replace(frame(spark, D2, "abc"), path)
+    S.publish_replace(frame(spark, D2, "abc"), path, [D2])
     assert content(spark, path) == first and S.snapshot_exists(spark, path)
-    S.publish_replace(frame(spark, D2, "a", 9.0), path)
+    S.publish_replace(frame(spark, D2, "a", 9.0), path, [D2])
     assert content(spark, path) == [(D1, "a", 1.0), (D1, "b", 1.0), (D2, "a", 9.0)]
 
 
@@ -50,11 +52,94 @@ def test_upsert_updates_adds_and_keeps(spark, path):
         ]
 
 
+def test_a_run_that_dies_before_the_switch_changes_nothing(spark, path, monkeypatch):
+    """Two dates are written whole, then the run stops: readers still see both old ones whole."""
+    both = [D1, D2]
+    S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "abc")), path, both)
+    before = content(spark, path)
+
+    def die(staged):
+        raise KeyboardInterrupt
+
+    new = frame(spark, D1, "x", 9.0).unionByName(frame(spark, D2, "y", 9.0))
+    with monkeypatch.context() as m:
+        m.setattr(S, "switch", die)
+        with pytest.raises(KeyboardInterrupt):
+            S.publish_replace(new, path, both)
+    assert content(spark, path) == before
+    S.publish_replace(new, path, both)
+    assert content(spark, path) == [(D1, "x", 9.0), (D2, "y", 9.0)]
+
+
+def test_readers_keep_what_they_opened(spark, path):
+    S.publish_replace(frame(spark, D1, "ab"), path, [D1])
+    opened = S.read_snapshots(spark, path)
+    S.publish_replace(frame(spark, D1, "z"), path, [D1])
+    assert opened.count() == 2 and S.read_snapshots(spark, path).count() == 1
+
+
+def test_two_publishes_at_once(spark, path):
+    """Different dates both get in; of two for one date the later one is refused."""
+    S.publish_replace(frame(spark, D1, "a"), path, [D1])
+    one, two = S.stage(frame(spark, D1, "b"), path), S.stage(frame(spark, D2, "c"), path)
+    late = S.stage(frame(spark, D1, "d"), path)
+    S.switch(one)
+    S.switch(two)
+    with pytest.raises(S.ConcurrentPublish, match=D1):
+        S.switch(late)
+    assert content(spark, path) == [(D1, "b", 1.0), (D2, "c", 1.0)]
+
+
+def test_a_pointer_number_is_taken_once(spark, path):
+    S.publish_replace(frame(spark, D1, "a"), path, [D1])
+    taken = S.current(spark, path)
+    assert taken.number == 1 and not S._create_pointer(spark, path, S.Pointer(1, {}))
+    assert S.current(spark, path) == taken
+
+
+def test_a_pointer_cut_short_counts_as_absent(spark, path):
+    from stockpolicy.functions.session import file_system
+
+    S.publish_replace(frame(spark, D1, "ab"), path, [D1])
+    fs, file = file_system(spark, f"{path}/_pointers/00000002.json")
+    stream = fs.create(file, False)
+    stream.write(bytearray(b'{"dates": {"2018'))
+    stream.close()
+    assert content(spark, path) == [(D1, "a", 1.0), (D1, "b", 1.0)]
+    S.publish_replace(frame(spark, D2, "c"), path, [D2])
+    assert S.current(spark, path).number == 3 and len(content(spark, path)) == 3
+
+
+def test_expire_keeps_what_pointers_name(spark, path):
+    for seller in "abc":
+        S.publish_replace(frame(spark, D1, seller), path, [D1])
+    S.publish_replace(frame(spark, D2, "z"), path, [D2])
+    assert S.expire(spark, path, keep=2) == 2
+    assert content(spark, path) == [(D1, "c", 1.0), (D2, "z", 1.0)]
+    assert S.expire(spark, path) == 0 and S.snapshot_rows(spark, path).keys() == {dt.date(2018, 8, 24), dt.date(2018, 8, 31)}
+
+
+def test_dates_must_have_rows(spark, path):
+    S.publish_replace(frame(spark, D1, "ab"), path, [D1])
+    with pytest.raises(ValueError, match=f"no rows for {D2}"):
+        S.publish_replace(frame(spark, D1, "x"), path, [D1, D2])
+    with pytest.raises(ValueError, match="another date"):
+        S.publish_replace(frame(spark, D1, "x"), path, [D2])
+    assert content(spark, path) == [(D1, "a", 1.0), (D1, "b", 1.0)]
+
+
+def test_measures_are_observed_by_the_write(spark, path):
+    staged = S.stage(frame(spark, D1, "abc"), path, {"n": F.count("*"), "most": F.max("seller_id")})
+    assert staged.measures == {"n": 3, "most": "c"} and staged.rows == {D1: 3}
+    assert not S.snapshot_exists(spark, path)
+    staged.discard()
+
+
 def test_bad_keys_are_refused(spark, path):
     with pytest.raises(ValueError, match="repeated"):
-        S.publish_replace(frame(spark, D1, "aa"), path)
+        S.publish_replace(frame(spark, D1, "aa"), path, [D1])
     with pytest.raises(ValueError, match="NULL"):
-        S.publish_replace(frame(spark, D1, "a", category=None), path)
+        S.publish_replace(frame(spark, D1, "a", category=None), path, [D1])
     with pytest.raises(ValueError, match="another date"):
         S.publish_upsert(frame(spark, D1, "a"), path, D2)
     assert not S.snapshot_exists(spark, path)
@@ -63,14 +148,14 @@ def test_bad_keys_are_refused(spark, path):
 def test_contract(spark, path):
     df = frame(spark, D1, "a", demand_sd=float("nan"))
     assert df.dtypes == [(n, t) for n, t in PUBLISHED] and len(PUBLISHED) == 27
-    S.publish_replace(df, path)
+    S.publish_replace(df, path, [D1])
     stored = S.read_snapshots(spark, path)
     assert stored.dtypes == df.dtypes
     assert stored.first()["demand_sd"] is None
 
 
 def test_latest(spark, path):
-    S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "a")), path)
+    S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "a")), path, [D1, D2])
     stored = S.read_snapshots(spark, path)
     assert [str(r["calc_date"]) for r in S.latest_snapshot(stored).collect()] == [D2]
     assert S.latest_snapshot(stored, before=D2).count() == 2
@@ -80,7 +165,7 @@ def test_latest(spark, path):
 def test_latest_prunes_partitions(spark, path):
     from support import plan_of
 
-    S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "a")), path)
+    S.publish_replace(frame(spark, D1, "ab").unionByName(frame(spark, D2, "a")), path, [D1, D2])
     plan = plan_of(S.latest_snapshot(S.read_snapshots(spark, path)).select("seller_id"))
     assert "PartitionFilters: [isnotnull(calc_date" in plan and "Subquery" in plan
 

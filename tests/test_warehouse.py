@@ -9,10 +9,11 @@ from checks.fixture import CALC_DATE, CFG
 from checks.queries import FOREIGN, Tables, comparable, to_foreign
 from stockpolicy import __main__ as cli
 from stockpolicy.config import Mapping
-from stockpolicy.functions.session import scratch_path
+from stockpolicy.functions.session import file_system, scratch_path
 from stockpolicy.operators.gates import DataQualityError
 from stockpolicy.plans import findings
 from stockpolicy.plans.warehouse import Warehouse
+from stockpolicy.sources import snapshots
 from stockpolicy.sources.layers import write_layer
 
 NAMES = FOREIGN | {
@@ -115,6 +116,78 @@ def test_backfill_refuses_dates_without_rows_and_bad_dates(warehouse, tables):
     assert wh.snapshots().count() == before
 
 
+def commits(wh):
+    fs, pattern = file_system(wh.spark, f"{wh.snapshots_path}/commit=*")
+    return len(fs.globStatus(pattern) or [])
+
+
+def test_one_job_computes_the_parameters(warehouse, monkeypatch):
+    """The fact is read by one write and by no check: gates and summary come from what it observed."""
+    wh = Warehouse(warehouse.spark, scratch_path(warehouse.spark, "warehouse"), CFG)
+    wh.demand, wh.fulfilment = warehouse.demand, warehouse.fulfilment
+    staged, plans = [], []
+    stage = snapshots.stage
+
+    def watched(df, *args):
+        plans.append(df)
+        staged.append(stage(df, *args))
+        # From here on the parameters' own frame must not run again.
+        monkeypatch.setattr(type(df), "count", refuse, raising=False)
+        return staged[-1]
+
+    def refuse(self):
+        raise AssertionError("the parameters were counted again")
+
+    monkeypatch.setattr(snapshots, "stage", watched)
+    assert wh.run(CALC_DATE) == {"computed": 23, "publishable": 0, "intermittent": 23, "stale": 2}
+    monkeypatch.undo()
+    assert len(plans) == 1 and staged[0].rows == {str(CALC_DATE): 23}
+    assert staged[0].measures == {
+        "total": 23, "published": 0, "negative": 0, "out_of_range": 0, "missing": 0,
+        "computed": 23, "publishable": 0, "intermittent": 23, "stale": 2,
+    }
+    assert snapshots.snapshot_rows(wh.spark, wh.snapshots_path) == {CALC_DATE: 23}
+    assert commits(wh) == 1
+
+
+def test_failed_runs_leave_no_files(warehouse):
+    wh = Warehouse(warehouse.spark, scratch_path(warehouse.spark, "warehouse"), LENIENT)
+    wh.demand, wh.fulfilment = warehouse.demand, warehouse.fulfilment
+    wh.backfill(["2001-07-24", CALC_DATE])
+    strict = Warehouse(wh.spark, wh.root, CFG.with_(max_row_drop_pct=-1000))
+    strict.demand, strict.fulfilment = warehouse.demand, warehouse.fulfilment
+    before = wh.snapshots().count()
+    for failing in (lambda: strict.run(CALC_DATE), lambda: strict.backfill([CALC_DATE]), lambda: strict.run(CALC_DATE, "upsert")):
+        with pytest.raises(DataQualityError):
+            failing()
+        assert commits(wh) == 1
+    wh.run(CALC_DATE, "upsert")
+    assert commits(wh) == 2 and snapshots.expire(wh.spark, wh.snapshots_path) == 1
+    assert wh.snapshots().count() == before
+
+
+def test_broken_lines_are_stored_and_counted(spark, mapping, extract):
+    folder = scratch_path(spark, "extract")
+    raw = Tables(spark, SMOKE).raw
+    for name, cols in NAMES.items():
+        write_layer(raw[name].withColumnsRenamed(cols), f"{folder}/{name}.csv", fmt="csv")
+    header = ",".join(NAMES["orders"][c] for c in raw["orders"].columns)
+    write_text(spark, [header, "1,F", "2,F,,,,,,,extra"], f"{folder}/orders.csv")
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"), CFG)
+    wide = mapping | {"orders": mapping["orders"] | {"expected_rows": 1502}}
+    assert wh.load(folder, Mapping.from_dict(wide))["orders"] == 1502
+    assert wh.raw()["orders"].count() == 1500 and wh.raw()["orders"].columns == list(NAMES["orders"])
+    wh.build_staging()
+    stored = wh.staging()
+    assert sorted(r["line"] for r in stored["quarantine_lines"].collect()) == ["1,F", "2,F,,,,,,,extra"]
+    assert stored["orders"].count() == 429
+
+
+def write_text(spark, lines, folder):
+    """One more file of these lines in a folder."""
+    spark.createDataFrame([("\n".join(lines),)], "v string").coalesce(1).write.mode("append").text(folder)
+
+
 def test_missing_words_and_open_spine(spark, extract, mapping):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), CFG.with_(spine_end=CALC_DATE))
     wh.load(extract, Mapping.from_dict(mapping), na_values=["F"])
@@ -144,7 +217,7 @@ def test_nothing_to_publish(warehouse):
 def test_truncated_extract_is_refused(spark, extract, mapping):
     wrong = mapping | {"orders": mapping["orders"] | {"expected_rows": 1499}}
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), CFG)
-    with pytest.raises(ValueError, match="announces 1499"):
+    with pytest.raises(ValueError, match="announced are 1499"):
         wh.load(extract, Mapping.from_dict(wrong))
 
 
