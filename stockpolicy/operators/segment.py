@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpolicy.config import PolicyConfig
-from stockpolicy.functions.session import stored
+from stockpolicy.functions.session import stored_by, stored_count
 from stockpolicy.schemas import SERIES
 
 AMOUNT = "decimal(28,6)"
@@ -22,11 +22,12 @@ def cumulative_share(
 
     A window ordered over everything would put all rows into one task. Instead:
 
-    1. range-partition on (by, value desc, ties), as many ranges as the rows need
-       (ROWS_PER_RANGE): balanced even when a
-       third of the rows carry the same value, because the ties differ. Ranging
-       reads its input twice (sample, then shuffle), so it is cached meanwhile;
-    2. keep that layout on shared storage, so both passes see the same ranges;
+    1. store the rows, because ranging reads them twice (sample, then shuffle); the same
+       write counts them;
+    2. range them on (by, value desc, ties), as many ranges as the rows need (ROWS_PER_RANGE).
+       Ranges stay balanced when a third of the rows carry the same value, because the ties
+       differ. This is the one shuffle of the rows: they are stored in buckets by range, so
+       Spark knows where each range lies;
     3. sum per range. This table has one row per range and `by` group, so its
        running total is small;
     4. running sum inside each range, plus the range's offset.
@@ -38,15 +39,10 @@ def cumulative_share(
     by = list(by)
     order = [F.desc(value), *ties]
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
-    source = df.withColumn("_amount", amount).persist()
-    try:
-        n = buckets or max(1, math.ceil(source.count() / ROWS_PER_RANGE))
-        ranged = stored(
-            source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id()),
-            "ranges",
-        )
-    finally:
-        source.unpersist()
+    source, rows = stored_count(df.withColumn("_amount", amount), "amounts")
+    n = buckets or max(1, math.ceil(rows / ROWS_PER_RANGE))
+    ranges = source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id())
+    ranged = stored_by(ranges, "_range", n, "ranges")
     groups = Window.partitionBy(*by)
     earlier = groups.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -63,17 +59,17 @@ def cumulative_share(
         Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     total = F.nullif(F.col("_total").cast("double"), F.lit(0.0))
-    upto = F.col("_offset") + F.sum("_amount").over(running)
     return (
-        ranged.join(offsets, [*by, "_range"])
-        .withColumn("_upto", upto)
+        ranged.withColumn("_inside", F.sum("_amount").over(running))
+        .join(offsets, [*by, "_range"])
+        .withColumn("_upto", F.col("_offset") + F.col("_inside"))
         .withColumns(
             {
                 "cum_share_before": (F.col("_upto") - F.col("_amount")).cast("double") / total,
                 "cum_share": F.coalesce(F.col("_upto").cast("double") / total, F.lit(0.0)),
             }
         )
-        .drop("_amount", "_range", "_offset", "_total", "_upto")
+        .drop("_amount", "_range", "_offset", "_total", "_upto", "_inside")
     )
 
 

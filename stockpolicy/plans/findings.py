@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpolicy.functions.columns import date_lit, ratio
+from stockpolicy.functions.columns import date_lit, ratio, sd_of_moments
+from stockpolicy.functions.session import stored
 from stockpolicy.operators.quantile import exact_percentile
 from stockpolicy.plans.profile import with_share
-from stockpolicy.schemas import SERIES
+from stockpolicy.schemas import QUANTITY, SERIES
 from stockpolicy.sources.snapshots import latest_snapshot
 
 
@@ -71,7 +72,7 @@ def f2_inventory_position(params: DataFrame, calc_date=None) -> DataFrame:
 
 
 def f3_variance_drivers(params: DataFrame, calc_date=None) -> DataFrame:
-    live = published(params, calc_date)
+    live = stored(published(params, calc_date).select("supply_variance_share"), "live")
     share = F.col("supply_variance_share")
     median = exact_percentile(live, "supply_variance_share", 0.5).select("value").scalar()
     return live.agg(
@@ -153,15 +154,23 @@ def ranked_weeks(fct: DataFrame) -> DataFrame:
 
 
 def f8_outlier_sensitivity(params: DataFrame, fct: DataFrame, calc_date=None) -> DataFrame:
-    """How much of a series' demand sd is its single largest week."""
-    units = F.col("units").cast("double")
-    spread = (
-        ranked_weeks(fct)
-        .groupBy(*SERIES)
-        .agg(
-            F.stddev_samp(units).alias("sd_all"),
-            F.stddev_samp(F.when(F.col("rn") > 1, units)).alias("sd_ex"),
-        )
+    """How much of a series' demand sd is its single largest week.
+
+    From one aggregate of the fact: count, sum, sum of squares and maximum are exact decimals, so
+    taking the largest week out of them is exact too, and no window orders the weeks.
+    """
+    units = F.col("units").cast(QUANTITY)
+    moments = fct.groupBy(*SERIES).agg(
+        F.count(units).alias("n"),
+        F.sum(units).alias("s"),
+        F.sum(units * units).alias("ss"),
+        F.max(units).alias("top"),
+    )
+    n, s, ss, top = (F.col(c) for c in ("n", "s", "ss", "top"))
+    spread = moments.select(
+        *SERIES,
+        sd_of_moments(n, s, ss).alias("sd_all"),
+        sd_of_moments(n - 1, s - top, ss - top * top).alias("sd_ex"),
     )
     live = published(params, calc_date).select(*SERIES)
     drop = (1 - ratio(F.col("sd_ex"), F.col("sd_all"))) * 100
@@ -213,8 +222,10 @@ def review_worst(params: DataFrame, calc_date=None, n: int = 10) -> DataFrame:
 
 
 def review_tiles(params: DataFrame, calc_date=None) -> DataFrame:
-    """The headline numbers in one row, from one pass and one percentile."""
-    live = published(params, calc_date)
+    """The headline numbers in one row. The columns they need are stored once, then read."""
+    columns = """promised_mean_days observed_mean_days cycle_promised ss_promised cycle_observed
+        ss_observed supply_variance_share naive_total_cover model_total_target""".split()
+    live = stored(published(params, calc_date).select(*columns), "live")
     promised, observed = F.col("promised_mean_days"), F.col("observed_mean_days")
     total_p = F.sum(F.col("cycle_promised") + F.col("ss_promised"))
     total_o = F.sum(F.col("cycle_observed") + F.col("ss_observed"))

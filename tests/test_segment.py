@@ -66,10 +66,21 @@ def test_only_the_offsets_meet_in_one_partition(spark):
     df = spark.range(5000).selectExpr(
         "'c' category", "cast(id as string) seller_id", "double(id) annualised_revenue"
     )
-    plan = plan_of(cumulative_share(df, "annualised_revenue", ["category", "seller_id"]))
+    plan = plan_of(cumulative_share(df, "annualised_revenue", ["category", "seller_id"], buckets=3))
     assert plan.count("SinglePartition") == 1
 
 
+def test_ranges_are_not_shuffled_again(spark):
+    """The stored ranges carry their buckets: the rows' window needs no exchange, only the few offsets have one."""
+    df = spark.range(60_000).selectExpr(
+        "'c' category", "cast(id as string) seller_id", "double(id % 977) annualised_revenue"
+    )
+    plan = plan_of(cumulative_share(df, "annualised_revenue", ["category", "seller_id"], buckets=6))
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line and "Reused" not in line]
+    assert len(exchanges) == 1 and "SinglePartition" in exchanges[0], plan
+    assert "Bucketed: true" in plan and "InMemoryTableScan" not in plan
+
+
 def test_few_rows_make_few_ranges(spark, tmp_path):
     df = spark.range(500).selectExpr("'c' category", "cast(id as string) seller_id", "double(id) annualised_revenue")
     old = spark.conf.get("spark.sql.shuffle.partitions")
