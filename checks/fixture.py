@@ -33,6 +33,10 @@ CFG = PolicyConfig(
     period_starts=(dt.date(1995, 7, 1), dt.date(1998, 1, 1)),
 )
 
+# A fact window that crosses a year, and gates that most series fail.
+FACT_FROM = dt.date(2000, 11, 1)
+STRICT = CFG.with_(max_duration_days=1)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -153,6 +157,14 @@ RAW = {
 }
 
 
+def broken_line_texts(raw_lines: DataFrame) -> DataFrame:
+    """(line): lines of the order-line extract that lost their end, or have a field too many."""
+    key = F.col("order_id").cast("bigint")
+    end = F.when(key % 2 == 0, F.lit("")).otherwise(F.lit(",x,S1,1.00,1,extra"))
+    chosen = raw_lines.filter((F.col("line_no") == "1") & (key % 251 == 0))
+    return chosen.select(F.concat("order_id", F.lit(","), "line_no", end).alias("line"))
+
+
 class RawTables(Mapping):
     """Raw section to frame; each is built when first asked for."""
 

@@ -7,7 +7,7 @@ defined with fewer places are rounded by exact integer arithmetic here.
 
 from __future__ import annotations
 
-from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, STOPPED_FROM
+from checks.fixture import CALC_DATE, CFG, FACT_FROM, HISTORY_DATES, PREVIOUS_DATE, STOPPED_FROM, STRICT
 
 # Standard normal quantiles.
 Z_VALUES = {0.90: 1.2815515655446004, 0.95: 1.6448536269514722, 0.98: 2.0537489106318225}
@@ -362,6 +362,23 @@ def oracle_sql() -> dict[str, str]:
         " FROM raw_lines"
     )
     q["scan_mapped_csv"] = staging + "SELECT * FROM raw_lines"
+    q["quarantine_lines"] = staging + """
+SELECT 'raw.order_lines' AS table_name,
+       order_id || ',1' || CASE WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN '' ELSE ',x,S1,1.00,1,extra' END AS line
+FROM raw_lines WHERE line_no = '1' AND CAST(order_id AS BIGINT) % 251 = 0"""
+    q["layer_overwritten"] = staging + "SELECT * FROM raw_products"
+    line_value = "coalesce(price * qty, 0)"
+    q["line_value_share"] = staging + f"""
+, ranked AS (SELECT *, price * qty AS line_value, {line_value} AS v,
+    sum({line_value}) OVER (ORDER BY price * qty DESC NULLS LAST, order_id, item_seq ROWS UNBOUNDED PRECEDING) AS upto,
+    sum({line_value}) OVER () AS total FROM stg_items)
+SELECT order_id, item_seq, {num("line_value", "CAST(upto - v AS DOUBLE) / total AS cum_share_before",
+                                "CAST(upto AS DOUBLE) / total AS cum_share")} FROM ranked"""
+    q["seller_percentiles"] = staging + " UNION ALL ".join(
+        f"SELECT seller_id, '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p,"
+        f" {num(f'quantile_cont(CAST({c} AS DOUBLE), {p}) AS value')}, count({c}) AS n FROM stg_items GROUP BY seller_id"
+        for c in ("price", "qty") for p in (0.1, 0.5, 0.9)
+    )
     q["raw_row_counts"] = staging + " UNION ALL ".join(
         f"SELECT 'raw.{name}' AS table_name, count(*) AS n_rows FROM {cte}"
         for name, cte in [
@@ -590,6 +607,16 @@ FROM params"""
     q["buffer_params_history"] = _with(*many) + f"SELECT {PUBLISHED} FROM params"
     q["buffer_params_history_as_of"] = _with(*as_of) + f"SELECT {PUBLISHED} FROM params"
 
+    q["readiness_overall"] = f"""
+SELECT CASE WHEN count(*) FILTER (WHERE level = 'FAIL') > 0 THEN 'FAIL'
+            WHEN count(*) FILTER (WHERE level = 'WARN') > 0 THEN 'WARN' ELSE 'OK' END AS verdict,
+       count(*) FILTER (WHERE level = 'FAIL') AS failed, count(*) FILTER (WHERE level = 'WARN') AS warned
+FROM ({q["input_readiness"]})"""
+    q["stored_fact_window"] = marts + (
+        f"SELECT category, seller_id, purchase_week, {num('units', 'revenue')} FROM fct"
+        f" WHERE purchase_week BETWEEN DATE '{FACT_FROM}' AND DATE '{CALC_DATE}'"
+    )
+
     # Gates and snapshots
     measures = f"""count(*) AS total, count(*) FILTER (WHERE is_publishable) AS published,
        count(*) FILTER (WHERE is_publishable AND ss_observed < 0) AS negative,
@@ -634,6 +661,11 @@ SELECT * FROM g"""
     q["volume_gate"] = (
         _with(*two) + gates(current + " AND is_publishable", current) + " WHERE \"check\" LIKE 'row%'"
     )
+    q["snapshot_rows"] = _with(*two) + "SELECT calc_date, count(*) AS n_rows FROM params GROUP BY 1"
+    strict = f"count(*) FILTER (WHERE observed_mean_days <= 0 OR observed_mean_days > {STRICT.max_duration_days})"
+    q["closed_gates"] = params + f"""
+SELECT 'fulfilment duration out of range' AS "check", CAST({strict} AS DOUBLE) AS value, 0.0::DOUBLE AS threshold,
+       FALSE AS passed FROM params WHERE is_publishable HAVING {strict} > 0"""
     q["latest_snapshot"] = _with(*two) + (
         f"SELECT {PUBLISHED} FROM params WHERE calc_date = (SELECT max(calc_date) FROM params)"
     )
@@ -692,6 +724,8 @@ SELECT abc, xyz, n AS series, {rounded(3, supply="supply_share")},
        {rounded(1, **{"model": "required", "naive": "naive", "(naive / model - 1) * 100": "gap_pct",
                       "model / top * 100": "required_bar", "naive / top * 100": "naive_bar"})}
 FROM per_class, scale"""
+    q["exported_review"] = q["review_grid"]
+    q["exported_exclusions"] = f"SELECT *, TRUE AS recorded FROM ({q['exclusions']})"
     q["review_worst"] = params + "," + _least_consistent(10) + f"""
 SELECT left(seller_id, 8) AS seller, replace(category, '_', ' ') AS category, abc,
        {num("observed_mean_days AS mean", "observed_sd_days AS sd")},

@@ -8,7 +8,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import CALC_DATE, CFG, HISTORY_DATES, PREVIOUS_DATE, RawTables
+from checks.fixture import (
+    CALC_DATE,
+    CFG,
+    FACT_FROM,
+    HISTORY_DATES,
+    PREVIOUS_DATE,
+    STRICT,
+    RawTables,
+    broken_line_texts,
+)
 from checks.workspace import ensure_workspace
 from stockpolicy.config import Mapping as SourceMapping
 from stockpolicy.config import SourceSpec
@@ -134,7 +143,8 @@ class Tables:
 
     @cached_property
     def two_dates(self) -> DataFrame:
-        return snapshots.to_published(self.history([PREVIOUS_DATE, CALC_DATE]))
+        """Two snapshots, stored: some queries read them several times."""
+        return stored(snapshots.to_published(self.history([PREVIOUS_DATE, CALC_DATE])), "two_dates")
 
     def history(self, dates) -> DataFrame:
         return history.params_history(self.fct, self.fulfilment, dates, CFG)
@@ -154,10 +164,60 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _scan_mapped_csv(t: Tables) -> DataFrame:
+    """Order lines as a foreign extract, with a file of lines that are too short or too long."""
     folder = scratch_path(t.spark, "extract")
-    layers.write_layer(to_foreign(t.raw["order_lines"], "order_lines"), f"{folder}/lines", fmt="csv")
+    foreign = to_foreign(t.raw["order_lines"], "order_lines")
+    layers.write_layer(foreign, f"{folder}/good", fmt="csv")
+    header = t.spark.createDataFrame([(",".join(foreign.columns), 0)], "line string, at int")
+    lines = header.unionByName(broken_line_texts(t.raw["order_lines"]).withColumn("at", F.lit(1)))
+    layers.write_layer(lines.coalesce(1).sortWithinPartitions("at").select("line"), f"{folder}/broken", fmt="text")
     mapping = SourceMapping({"order_lines": SourceSpec("lines", FOREIGN["order_lines"])})
-    return extracts.scan_mapped(t.spark, f"{folder}/lines", "order_lines", mapping)
+    return extracts.scan_mapped(t.spark, f"{folder}/*", "order_lines", mapping, keep_broken=True)
+
+
+def _layer_overwritten(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "layer")
+    layers.write_layer(t.raw["products"].unionByName(t.raw["products"]), path)
+    layers.write_layer(t.raw["products"], path)
+    return t.spark.read.parquet(path)
+
+
+def _stored_fact_window(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "fact")
+    layers.write_fact(t.fct, path)
+    return layers.read_fact(t.spark, path, FACT_FROM, CALC_DATE)
+
+
+def _exported_exclusions(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "export")
+    audit = staging.exclusions(t.raw["orders"], CFG).withColumn("recorded_at", F.current_timestamp())
+    layers.write_small(audit, path, "csv")
+    found = t.spark.read.schema("step string, reason string, rows_removed bigint, recorded_at timestamp")
+    rows = found.option("header", True).csv(path)
+    age = F.timestamp_diff("SECOND", F.col("recorded_at"), F.current_timestamp())
+    return rows.withColumn("recorded", age.between(0, 86400)).drop("recorded_at")
+
+
+def _exported_review(t: Tables) -> DataFrame:
+    path, grid = scratch_path(t.spark, "export"), findings.review_grid(t.published)
+    layers.write_small(grid, path, "json")
+    return t.spark.read.schema(grid.schema).json(path)
+
+
+def _snapshot_rows(t: Tables) -> DataFrame:
+    """Rows of each date as the pointer of the published table names them."""
+    path = scratch_path(t.spark, "buffer_params")
+    dates = [PREVIOUS_DATE, CALC_DATE]
+    snapshots.publish_replace(snapshots.to_published(t.history(dates)), path, dates)
+    rows = snapshots.snapshot_rows(t.spark, path)
+    return t.spark.createDataFrame(list(rows.items()), "calc_date date, n_rows bigint")
+
+
+def _line_value_share(t: Tables) -> DataFrame:
+    """The running share over single lines, in seven ranges."""
+    lines = t.items.withColumn("line_value", F.col("price") * F.col("qty"))
+    shares = segment.cumulative_share(lines, "line_value", ["order_id", "item_seq"], buckets=7)
+    return shares.select("order_id", "item_seq", "line_value", "cum_share_before", "cum_share")
 
 
 def _canonical(t: Tables, section: str, drop: str | None = None) -> DataFrame:
@@ -169,16 +229,14 @@ def _canonical(t: Tables, section: str, drop: str | None = None) -> DataFrame:
 def _republished(t: Tables, publish) -> DataFrame:
     """Two dates published, then the second one again with other values and fewer keys."""
     path = scratch_path(t.spark, "buffer_params")
-    snapshots.publish_replace(t.two_dates, path)
+    two = snapshots.to_published(t.history([PREVIOUS_DATE, CALC_DATE]))
+    snapshots.publish_replace(two, path, [PREVIOUS_DATE, CALC_DATE])
     rerun = (
         snapshots.latest_snapshot(snapshots.read_snapshots(t.spark, path))
         .filter(F.col("abc") == "A")
         .withColumn("naive_total_cover", F.col("demand_mean") * 3)
     )
-    # The rerun is derived from the stored table, so it must not be read while replaced.
-    staged = f"{path}-rerun"
-    layers.write_layer(rerun, staged)
-    publish(t.spark.read.parquet(staged), path)
+    publish(rerun, path)  # read from the current commit, written to another
     return snapshots.read_snapshots(t.spark, path).select(
         "calc_date", *SERIES, "abc", "ss_observed", "naive_total_cover"
     )
@@ -206,7 +264,9 @@ def _series_grain(t: Tables) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # Sources
-    "scan_mapped_csv": _scan_mapped_csv,
+    "scan_mapped_csv": lambda t: extracts.good_lines(_scan_mapped_csv(t)),
+    "quarantine_lines": lambda t: extracts.broken_lines({"order_lines": _scan_mapped_csv(t)}),
+    "layer_overwritten": _layer_overwritten,
     "canonical_orders": lambda t: _canonical(t, "orders"),
     "canonical_order_lines": lambda t: _canonical(t, "order_lines", drop="quantity"),
     "raw_row_counts": lambda t: extracts.raw_row_counts(t.raw),
@@ -227,6 +287,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "profile_uncategorised": lambda t: profile.profile_uncategorised(t.raw["products"]),
     "profile_product_thickness": lambda t: profile.profile_product_thickness(t.raw["order_lines"]),
     "profile_duplicate_keys": lambda t: profile.profile_duplicate_keys(t.raw),
+    "line_value_share": _line_value_share,
+    "seller_percentiles": lambda t: quantile.exact_percentiles(
+        t.items, ["price", "qty"], [0.1, 0.5, 0.9], ["seller_id"]
+    ),
     "line_value_percentile": lambda t: quantile.exact_percentile(t.items, "price", 0.9),
     # Readiness
     "readiness_unparseable": lambda t: readiness.unparseable(t.raw["orders"]),
@@ -238,6 +302,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         readiness.product_grain(t.raw["order_lines"], t.raw["products"]), _series_grain(t), CFG
     ),
     "input_readiness": lambda t: readiness.input_readiness(t.raw, CFG),
+    "readiness_overall": lambda t: readiness.overall_verdict(readiness.input_readiness(t.raw, CFG)),
     # Marts
     "order_line_facts": lambda t: t.facts,
     "weekly_sales": lambda t: t.sales,
@@ -245,6 +310,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "calendar_spine": lambda t: marts.calendar_spine(marts.modelled_series(t.sales, CFG)),
     "fct_demand_weekly": lambda t: t.demand,
     "fct_demand_to_calc_date": lambda t: marts.fct_demand_weekly(t.sales, CFG, CALC_DATE),
+    "stored_fact_window": _stored_fact_window,
     "fulfilment_stats": lambda t: marts.fulfilment_stats(t.rollup, CFG),
     "dim_seller": lambda t: t.dim_seller.drop("seller_key"),
     "dim_seller_keys": lambda t: t.dim_seller,
@@ -298,9 +364,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # Gates and snapshots
     "quality_gates": _gates,
     "volume_gate": _volume_gate,
+    "closed_gates": lambda t: gates.run_gates(t.published, None, STRICT).filter("NOT passed"),
+    "snapshot_rows": _snapshot_rows,
     "backfill_gates": lambda t: gates.run_gates_by_date(t.history(HISTORY_DATES), None, CFG),
     "snapshot_upsert": _upsert,
-    "snapshot_replace": lambda t: _republished(t, snapshots.publish_replace),
+    "snapshot_replace": lambda t: _republished(t, lambda df, path: snapshots.publish_replace(df, path, [CALC_DATE])),
     "latest_snapshot": lambda t: snapshots.latest_snapshot(t.two_dates),
     # Findings and review datasets
     "finding_population": lambda t: findings.f0_population(t.published),
@@ -316,6 +384,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "review_grid": lambda t: findings.review_grid(t.published),
     "review_worst": lambda t: findings.review_worst(t.published),
     "review_tiles": lambda t: findings.review_tiles(t.published),
+    "exported_exclusions": _exported_exclusions,
+    "exported_review": _exported_review,
 }
 
 
