@@ -1,16 +1,5 @@
 """A folder for intermediate data where the session names none (tests, local runs)."""
 
-from __future__ import annotations
+from stockpolicy.functions.session import ensure_workspace
 
-import tempfile
-
-from pyspark.sql import SparkSession
-
-
-def ensure_workspace(spark: SparkSession) -> SparkSession:
-    """Under a local master without `spark.checkpoint.dir`, set a temporary folder."""
-    sc = spark.sparkContext
-    unset = not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None
-    if unset and sc.master.split("[")[0] == "local":
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockpolicy-"))
-    return spark
+__all__ = ["ensure_workspace"]

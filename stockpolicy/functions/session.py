@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,6 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def ensure_workspace(spark: SparkSession) -> SparkSession:
+    """Under a local master without `spark.checkpoint.dir`, set a temporary folder (tests, local runs)."""
+    sc = spark.sparkContext
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None
+    if unset and sc.master.split("[")[0] == "local":
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockpolicy-"))
+    return spark
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop's file system of the path, and the path as its object."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -53,7 +63,20 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held._scratch = path
+    return held
+
+
+def release(held: DataFrame) -> None:
+    """Deletes the folder of a frame that `stored` returned, when nothing reads it any more.
+
+    Frames that did not come from `stored` are left alone.
+    """
+    path = getattr(held, "_scratch", None)
+    if path in _left:
+        fs, where = file_system(_left.pop(path), path)
+        fs.delete(where, True)
 
 
 def stored_count(df: DataFrame, name: str = "stored") -> tuple[DataFrame, int]:
