@@ -13,7 +13,7 @@ copies costs links in proportion to its members.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,59 +29,87 @@ from stockpolicy.llm.components import components
 SHARE = (80, 100)  # the Jaccard similarity, as a fraction
 MEMBERS = 32  # of a group: a bit of the matrix each
 GROUP_TOKENS = 1 << 18  # of a group, unless one set alone has more
-CHUNK_TOKENS = 1 << 22  # held by a task at a time, and about as many in a token range
+CHUNK_TOKENS = 1 << 20  # of the sets that a task holds at a time
+RANGE_TOKENS = 1 << 21  # about as many are counted in one group
 FREQUENT, FREQUENT_SETS = 1 << 20, 8  # tokens ordered last: at most so many, in so many sets each
 SLICE = 256  # queries opened against a group in one go
-STARS = 2  # rounds that link sets to one other set per token before all are compared
-WORDS = 1 << 20  # hashes of words kept by a worker
+STARS = 1  # rounds in which a set meets one other per token, before all that is left is met
+SLICE_BYTES = 1 << 18  # of texts hashed at a time
 
 # Odd multipliers, one per place in a shingle, and those of the finishing mix.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
-_words: dict[bytes, int] = {}
+# A word's hash is a polynomial of its bytes modulo 2^64, taken off running sums over a whole slice
+# of texts. Bytes stand for random numbers, A-Z for those of a-z. Such polynomials are weak for
+# long words only, which are hashed one by one.
+BASE = np.uint64(0x9E3779B97F4A7C55)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+LONG_WORD = 64
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTES[ord("A") : ord("Z") + 1] = BYTES[ord("a") : ord("z") + 1]
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_words) > WORDS:
-        _words.clear()
-    digest = xxhash.xxh64_intdigest
-    for w in set(words):
-        if w not in _words:
-            _words[w] = digest(w)
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(30))
+    x = x * MIX[0]
+    x ^= x >> np.uint64(27)
+    x *= MIX[1]
+    return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Per UTF-8 text its distinct shingles of five words as sorted 64-bit hashes.
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and its inverse for i below n; those of a usual slice are kept."""
+    if n > len(_kept[0]):
+        made = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, b)])) for b in (BASE, INVERSE))
+        if n > 4 * SLICE_BYTES:
+            return made
+        _kept[:] = made
+    return _kept[0][:n], _kept[1][:n]
+
+
+_kept: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word of UTF-8 bytes."""
+    own = np.frombuffer(raw, np.uint8)
+    edge = np.diff(np.concatenate([[True], SPACE[own], [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    power, inverse = _powers(len(own))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[own] * power)])
+    hashes = _mixed((sums[ends] - sums[starts]) * inverse[starts])
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(raw[starts[i] : ends[i]].lower())
+    return hashes, starts
+
+
+def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """Of each UTF-8 text its distinct shingles of five words as sorted 64-bit hashes.
 
     A-Z count as a-z, and words are cut at ASCII white space. Fewer than five words make one
     shingle, none make an empty set.
     """
-    width, sets = len(PLACES), []
-    for part in by_size(texts):
-        split = [t.lower().split() for t in texts[part]]
-        hashes = _word_hashes([w for words in split for w in words])
+    width = len(PLACES)
+    for part in by_size(texts, SLICE_BYTES):
+        some = texts[part]
+        hashes, at = word_hashes(b" ".join(some))
         total = len(hashes)
         mixed = np.zeros(total, np.uint64)
         for k in range(min(width, total)):
             mixed[: total - k] += hashes[k:] * PLACES[k]
-        at = 0
-        for words in split:
-            n = len(words)
+        mixed = _mixed(mixed)
+        ends = np.cumsum([len(t) + 1 for t in some])
+        stops = np.searchsorted(at, ends).tolist()
+        for first, stop in zip([0, *stops], stops):
+            n = stop - first
             if 0 < n < width:
-                own = np.array([(hashes[at : at + n] * PLACES[:n]).sum(dtype=np.uint64)])
+                own = _mixed((hashes[first:stop] * PLACES[:n]).sum(keepdims=True, dtype=np.uint64))
             else:
-                own = mixed[at : at + max(n - width + 1, 0)]
-            at += n
-            own = own ^ (own >> np.uint64(30))
-            own = own * MIX[0]
-            own ^= own >> np.uint64(27)
-            own *= MIX[1]
-            own ^= own >> np.uint64(31)
-            own.sort()
-            sets.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own)
-    return sets
+                own = np.sort(mixed[first : max(stop - width + 1, first)])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
 
 
 def identity(tokens: np.ndarray, clashes: frozenset = frozenset()) -> tuple[int, int]:
@@ -106,18 +134,13 @@ def marked(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            sets = shingle_sets(bytes_of(batch))
-            names = [identity(s) if len(s) else (None, None) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([a for a, _ in names], pa.int64()),
-                    pa.array([b for _, b in names], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([int(s[0].astype(np.int64)) if len(s) else None for s in sets], pa.int64()),
-                ],
-                names=[key, "id", "other", "n", "low"],
-            )
+            rows = [
+                (*identity(s), len(s), int(s[0].astype(np.int64))) if len(s) else (None, None, 0, None)
+                for s in shingle_sets(bytes_of(batch))
+            ]
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*rows)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "id", "other", "n", "low"])
 
     read = docs.select(key, "text")
     return read.mapInArrow(run, read.drop("text").schema.add("id", "long").add("other", "long").add("n", "long").add("low", "long"))
@@ -206,10 +229,27 @@ def in_order(tokens: np.ndarray, codes: np.ndarray, rank: np.ndarray, bits: int)
     return tokens[np.argsort(key, kind="stable")]
 
 
+def in_reach(token: np.ndarray, size: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Whether a posting has a partner under its token: sorted by token and size, indexed ones positive.
+
+    A set asks for indexed ones of its own size or less, down to `share` of it. The last
+    indexed one before it is the largest of these, and the one after an indexed one is the
+    least that may ask for it, so looking at neighbours tells.
+    """
+    at, n = np.arange(len(token)), np.abs(size).astype(np.int64)
+    new = np.concatenate([[True], token[1:] != token[:-1]])
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(size > 0, at, -1))[:-1]])
+    asks = (last >= first) & (n[last] * share[1] >= n * share[0])
+    found = np.zeros(len(token), bool)
+    found[:-1] = (size[:-1] > 0) & ~new[1:] & (n[:-1] * share[1] >= n[1:] * share[0])
+    return asks | found
+
+
 def shared_prefixes(
     docs: DataFrame, bits: int, clashes: frozenset, codes: np.ndarray, rank: np.ndarray, share: tuple[int, int]
 ) -> DataFrame:
-    """(token, id, n, indexed): the prefix tokens that two sets or more have, one of them indexed.
+    """(token, id, n, indexed): prefix tokens of sets that have a possible partner under them.
 
     A set of n tokens asks with its first n - ceil(t n) + 1 tokens. Of a pair the smaller set
     need only be found by its first n - ceil(2t / (1 + t) n) + 1, which are `indexed`.
@@ -243,13 +283,11 @@ def shared_prefixes(
             return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
         token, name, size = column("tokens", np.uint32), column("names", np.int64), column("sizes", np.int32)
-        order = np.lexsort((name, token))
+        order = np.lexsort((name, np.abs(size), token))
         token, name, size = token[order], name[order], size[order]
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (name[1:] != name[:-1])])  # copies fall together
         token, name, size = token[new], name[new], size[new]
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        held = np.diff(np.append(starts, len(token)))
-        met = np.repeat((held > 1) & (np.maximum.reduceat(size, starts) > 0), held)
+        met = in_reach(token, size, share)
         code = token[met].astype(np.int64) + (key[0].as_py() << 32)
         return pa.table({"token": code, "id": name[met], "n": np.abs(size[met]).astype(np.int64), "indexed": size[met] > 0})
 
@@ -360,14 +398,18 @@ def matrix(docs: DataFrame, wanted: DataFrame, clashes: frozenset, share: tuple[
 def opened(pairs: DataFrame, groups: DataFrame, place: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(a, b) with a < b: links between queries and members of the groups they meet. Runs jobs.
 
-    pairs: distinct (query, gid). Tokens of a query are read off its own group's row. A group
-    that many queries meet is opened in slices of SLICE of them.
+    pairs: distinct (query, gid), stored. Tokens of a query are read off its own group's row and go from
+    there to the groups it meets. A group that many queries meet is opened in slices of SLICE of them.
     """
 
-    def extract(left: pa.Table, right: pa.Table) -> pa.Table:
+    asked_schema = "gid long, slice long, query long, tokens binary"
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
         names = left["query"].to_pylist()
         group = Group.of(right.to_pylist()[0]) if names else None
-        return pa.table({"query": names, "tokens": pa.array([group.member(q).tobytes() for q in names], pa.binary())}, schema=pa.schema([("query", pa.int64()), ("tokens", pa.binary())]))
+        tokens = {q: group.member(q).tobytes() for q in set(names)}
+        columns = [left["target"], left["slice"], left["query"], pa.array([tokens[q] for q in names], pa.binary())]
+        return pa.table(columns, names=[c.split()[0] for c in asked_schema.split(", ")])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
@@ -384,14 +426,14 @@ def opened(pairs: DataFrame, groups: DataFrame, place: DataFrame, share: tuple[i
                         b.append(max(name, root))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    pairs = stored(pairs, "pairs")
-    own = pairs.select("query").distinct().join(place.select(F.col("id").alias("query"), "gid"), "query")
-    tokens = own.groupBy("gid").cogroup(groups.join(own.select("gid").distinct(), "gid", "left_semi").groupBy("gid"))
-    queries = tokens.applyInArrow(extract, "query long, tokens binary")
-    slices = F.ceil(F.count("*") / SLICE).cast("long").alias("slices")
-    met = pairs.groupBy("gid").agg(slices)
-    asked = pairs.join(met, "gid").join(queries, "query")
-    asked = asked.withColumn("slice", F.pmod(F.xxhash64("query"), F.col("slices"))).select("gid", "slice", "query", "tokens")
+    met = pairs.groupBy("gid").agg(F.ceil(F.count("*") / SLICE).cast("long").alias("slices"))
+    own = place.select(F.col("id").alias("query"), F.col("gid").alias("own"))
+    routed = pairs.join(met, "gid").join(own, "query").select(
+        "own", "query", F.col("gid").alias("target"), F.pmod(F.xxhash64("query"), F.col("slices")).alias("slice")
+    )
+    routed = stored(routed, "routed")
+    holders = groups.join(routed.select(F.col("own").alias("gid")).distinct(), "gid", "left_semi")
+    asked = routed.groupBy("own").cogroup(holders.groupBy("gid")).applyInArrow(send, asked_schema)
     held = groups.join(met, "gid").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
     links = asked.groupBy("gid", "slice").cogroup(held.groupBy("gid", "slice")).applyInArrow(compare, "a long, b long")
     return stored(links.distinct(), "links")
@@ -412,15 +454,20 @@ def star_pairs(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
     return met.filter(_in_reach(share)).select("query", "gid").distinct()
 
 
+def largest_components(postings: DataFrame) -> DataFrame:
+    """(token, main): the largest component of each token that more than one has."""
+    counts = postings.groupBy("token", "comp").agg(F.count("*").alias("sets"))
+    held = counts.groupBy("token").agg(F.max_by("comp", F.struct("sets", "comp")).alias("main"), F.count("*").alias("comps"))
+    return held.filter("comps > 1").select("token", "main")
+
+
 def all_pairs_left(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(query, gid): every query with every group that has a set of another component under a common token.
 
     A token's largest component is not met with itself, so what a token costs is its sets
     times its sets outside the largest component.
     """
-    counts = postings.groupBy("token", "comp").agg(F.count("*").alias("sets"))
-    largest = counts.groupBy("token").agg(F.max_by("comp", F.struct("sets", "comp")).alias("main"), F.count("*").alias("comps"))
-    live = stored(postings.join(largest.filter("comps > 1").drop("comps"), "token"), "live")
+    live = stored(postings.join(largest_components(postings), "token"), "live")
     asked = live.select("token", F.col("id").alias("query"), "n", "comp", (F.col("comp") == F.col("main")).alias("inside"))
     found = live.filter("indexed").select("token", "gid", F.col("n").alias("s_n"), F.col("comp").alias("s_comp"), (F.col("comp") == F.col("main")).alias("s_inside"))
     few = asked.filter("NOT inside").join(found, "token")
@@ -460,7 +507,7 @@ def jaccard_components(docs: DataFrame, share: tuple[int, int] = SHARE, key: str
 def _members(docs: DataFrame, nodes: DataFrame, rows: DataFrame, clashes: frozenset, share: tuple[int, int], key: str) -> DataFrame:
     """(node, component) of the sets that have a link."""
     total = rows.agg(F.sum("n")).first()[0] or 0
-    bits = int(max(0, total // CHUNK_TOKENS)).bit_length()
+    bits = int(total // RANGE_TOKENS).bit_length()
     order = frequent_tokens(docs, bits, clashes)
     prefixes = shared_prefixes(docs, bits, clashes, *order, share)
     met = stored(prefixes.select("id").distinct().join(nodes, "id"), "met")  # others link with nothing
@@ -469,12 +516,18 @@ def _members(docs: DataFrame, nodes: DataFrame, rows: DataFrame, clashes: frozen
     inside = groups.select(F.explode(F.arrays_zip("ids", "roots")).alias("m")).select(F.col("m.roots").alias("a"), F.col("m.ids").alias("b"))
     links = stored(inside.filter("a < b"), "links")
     placed = stored(prefixes.join(place.select("id", "gid"), "id"), "placed")
-    passes: list[Callable] = [star_pairs] * STARS + [all_pairs_left]
-    for pairs_of in passes:
-        member = stored(components(links), "components")
+    tested = None
+    # Each set meets one other per token, which joins most near copies; then all pairs that are left.
+    for pairs_of in [star_pairs] * STARS + [all_pairs_left]:
+        member = components(links)
         comp = F.coalesce("component", "id").alias("comp")
         postings = placed.join(member.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "indexed", "gid", comp)
-        links = links.unionByName(opened(pairs_of(postings, share), groups, place, share))
+        pairs = pairs_of(postings, share)
+        if tested is not None:
+            pairs = pairs.join(tested, ["query", "gid"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = links.unionByName(opened(pairs, groups, place, share))
     return components(links)
 
 

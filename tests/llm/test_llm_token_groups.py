@@ -85,9 +85,11 @@ def planted(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_planted_near_copies_equal_brute_force(spark, seed):
-    rows = planted(seed)
+@pytest.mark.parametrize("stars", [0, 2])
+def test_planted_near_copies_equal_brute_force(spark, stars, monkeypatch):
+    """Compared at once, and after rounds of stars."""
+    monkeypatch.setattr(tg, "STARS", stars)
+    rows = planted(stars)
     df = spark.createDataFrame(rows, SCHEMA).repartition(7)
     assert result(df) == brute_force(rows)
 
@@ -147,6 +149,24 @@ def test_a_union_bounds_its_members():
     assert group.overlaps(stranger, (80, 100)) is None  # not opened
 
 
+def test_only_postings_without_a_partner_are_dropped():
+    rnd = np.random.default_rng(10)
+    for _ in range(200):
+        m = int(rnd.integers(1, 12))
+        token, n = rnd.integers(0, 3, m).astype(np.uint32), rnd.integers(1, 15, m).astype(np.int32)
+        order = np.lexsort((n, token))
+        token, n = token[order], n[order]
+        indexed = rnd.random(m) < 0.5
+        got = tg.in_reach(token, np.where(indexed, n, -n), (80, 100))
+        for i in range(m):
+            partner = any(
+                token[i] == token[j] and i != j and (
+                    (j < i and indexed[j] and 100 * n[j] >= 80 * n[i]) or (i < j and indexed[i] and 100 * n[i] >= 80 * n[j])
+                ) for j in range(m)
+            )
+            assert got[i] == partner
+
+
 def test_frequent_tokens_come_last():
     tokens = np.sort(np.random.default_rng(7).integers(0, 2**64, 40, dtype=np.uint64))
     ranges, low = tg._ranges(tokens, 3)
@@ -156,6 +176,28 @@ def test_frequent_tokens_come_last():
     assert order[:-2] == [t for i, t in enumerate(tokens.tolist()) if i not in (4, 9)]
 
 
+def test_word_hashes_tell_words_apart():
+    rnd = random.Random(9)
+    words = {"".join(rnd.choices("abcdefgh", k=rnd.randrange(1, 9))) for _ in range(20_000)}
+    words |= {"x" * k for k in range(1, 300)} | {"ab" * k for k in range(1, 90)} | {"é", "e\u0301", "ſ", "s", "\xa0", "\x00", "0"}
+    words = sorted(words)
+    raw = "\x0b".join(words).encode()
+    hashes, starts = tg.word_hashes(raw)
+    assert len(starts) == len(words) == len(np.unique(hashes))
+    upper = raw.replace(b"abc", b"ABC").replace(b"x", b"X")
+    again, _ = tg.word_hashes(b"\t\n " + upper + b"  ")
+    assert (again == hashes).all()  # wherever a word stands, in either case
+    assert [len(x) for x in tg.word_hashes(b"")] == [0, 0]
+
+
+def test_sets_do_not_depend_on_slices(monkeypatch):
+    texts = [t.encode() for _, t in planted(5, 30)] + [b"", b" ", b"one two"]
+    want = [s.tolist() for s in tg.shingle_sets(texts)]
+    monkeypatch.setattr(tg, "SLICE_BYTES", 100)
+    assert [s.tolist() for s in tg.shingle_sets(texts)] == want
+    assert [len(s) for s in want] == [len(shingles(t.decode())) for t in texts]
+
+
 def test_a_shared_name_is_resolved():
     a = np.arange(5, dtype=np.uint64)
     first, second = tg.identity(a)
