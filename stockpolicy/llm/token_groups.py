@@ -465,14 +465,18 @@ def all_pairs_left(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(query, gid): every query with every group that has a set of another component under a common token.
 
     A token's largest component is not met with itself, so what a token costs is its sets
-    times its sets outside the largest component.
+    times its groups outside the largest component, and the other way round.
     """
     live = stored(postings.join(largest_components(postings), "token"), "live")
-    asked = live.select("token", F.col("id").alias("query"), "n", "comp", (F.col("comp") == F.col("main")).alias("inside"))
-    found = live.filter("indexed").select("token", "gid", F.col("n").alias("s_n"), F.col("comp").alias("s_comp"), (F.col("comp") == F.col("main")).alias("s_inside"))
+    inside = F.col("comp") == F.col("main")
+    asked = live.select("token", F.col("id").alias("query"), "n", "comp", inside.alias("inside"))
+    # The matrix proper: a group stands under a token once per component, however many members have it.
+    cells = live.filter("indexed").groupBy("token", "gid", "comp", "main").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    found = cells.select("token", "gid", "least", "most", F.col("comp").alias("s_comp"), inside.alias("s_inside"))
     few = asked.filter("NOT inside").join(found, "token")
     rest = asked.filter("inside").join(found.filter("NOT s_inside"), "token")
-    met = few.unionByName(rest).filter(_in_reach(share) & (F.col("comp") != F.col("s_comp")))
+    reach = (F.col("least") <= F.col("n")) & (F.col("most") * share[1] >= F.col("n") * share[0])
+    met = few.unionByName(rest).filter(reach & (F.col("comp") != F.col("s_comp")))
     return met.select("query", "gid").distinct()
 
 
