@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockpolicy.functions.session import stored
+from stockpolicy.functions.session import release, stored
 from stockpolicy.llm import mixing, near_dedup, packing, quality_rules, secret_scan
 
 # The near-duplicate stage uses the shingle length and distance of the operator's contract.
@@ -51,5 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each one's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        release(before)
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpolicy.functions.session import stored
+from stockpolicy.functions.session import release, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,9 +35,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     rounds grows with the logarithm of the longest chain; not settling in
     `rounds` raises. Runs jobs.
     """
-    current = edges.select("a", "b")
+    current = first = edges.select("a", "b")
     for _ in range(rounds):
-        current = stored(_star(_star(current, large=True), large=False), "star")
+        before, current = current, stored(_star(_star(current, large=True), large=False), "star")
+        if before is not first:
+            release(before)
         if _settled(current):
             heads = current.select(F.col("a").alias("node"), F.col("a").alias("component"))
             leaves = current.select(F.col("b").alias("node"), F.col("a").alias("component"))
