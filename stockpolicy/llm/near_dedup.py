@@ -10,6 +10,8 @@ together before any join.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,6 +24,7 @@ from stockpolicy.llm.components import components
 
 BITS = 64
 SEED = 42
+FPS_PER_TASK = 10_000  # distinct fingerprints whose variants one task makes
 CHUNK = 1 << 16  # shingles voted on at a time, which bounds memory for long texts
 
 
@@ -123,7 +126,9 @@ def links(fps: DataFrame, radius: int, crowded: int = 256) -> DataFrame:
     joins them all, exactly and in proportion to the fingerprints. With another
     radius crowded variants are compared pair by pair as well. Runs a job.
     """
-    every = variants(fps, radius)
+    # Dealt by their number: each becomes 64 rows, so few and small partitions would make large ones.
+    tasks = max(1, math.ceil(fps.count() / FPS_PER_TASK))
+    every = variants(fps.repartition(tasks), radius)
     counts = every.groupBy("wild", "value").agg(F.count("*").alias("n")).filter("n > 1")
     shared = stored(every.join(counts, ["wild", "value"]), "variants")
     two = radius == 2
@@ -178,7 +183,7 @@ def near_duplicates(
     the column text are read, so other columns cannot clash. Runs jobs.
     """
     marked = stored(fingerprints(docs, shingle, key), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min(key).alias("first"))
+    nodes = stored(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
     found = stored(links(nodes.select("fp"), radius, crowded), "links")
     member = components(found)  # (node, component): fingerprints that have a link
     nodes = nodes.join(member.withColumnRenamed("node", "fp"), "fp", "left").select(
