@@ -41,9 +41,13 @@ def cumulative_share(
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
     source, rows = stored_count(df.withColumn("_amount", amount), "amounts")
     n = buckets or max(1, math.ceil(rows / ROWS_PER_RANGE))
+    groups = Window.partitionBy(*by)
+    if n == 1:  # one range needs no ranging: its rows fit a task, and there is no offset
+        so_far = groups.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        sums = {"_upto": F.sum("_amount").over(so_far), "_total": F.sum("_amount").over(groups)}
+        return _with_shares(source.withColumns(sums))
     ranges = source.repartitionByRange(n, *by, *order).withColumn("_range", F.spark_partition_id())
     ranged = stored_by(ranges, "_range", n, "ranges")
-    groups = Window.partitionBy(*by)
     earlier = groups.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*by, "_range")
@@ -55,22 +59,22 @@ def cumulative_share(
             F.sum("_range_sum").over(groups).alias("_total"),
         )
     )
-    running = (
+    inside = F.sum("_amount").over(
         Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
+    joined = ranged.withColumn("_inside", inside).join(offsets, [*by, "_range"])
+    return _with_shares(joined.withColumn("_upto", F.col("_offset") + F.col("_inside")))
+
+
+def _with_shares(sums: DataFrame) -> DataFrame:
+    """Shares from `_amount`, its running sum `_upto` and `_total`; helper columns fall away."""
     total = F.nullif(F.col("_total").cast("double"), F.lit(0.0))
-    return (
-        ranged.withColumn("_inside", F.sum("_amount").over(running))
-        .join(offsets, [*by, "_range"])
-        .withColumn("_upto", F.col("_offset") + F.col("_inside"))
-        .withColumns(
-            {
-                "cum_share_before": (F.col("_upto") - F.col("_amount")).cast("double") / total,
-                "cum_share": F.coalesce(F.col("_upto").cast("double") / total, F.lit(0.0)),
-            }
-        )
-        .drop("_amount", "_range", "_offset", "_total", "_upto", "_inside")
-    )
+    return sums.withColumns(
+        {
+            "cum_share_before": (F.col("_upto") - F.col("_amount")).cast("double") / total,
+            "cum_share": F.coalesce(F.col("_upto").cast("double") / total, F.lit(0.0)),
+        }
+    ).drop("_amount", "_range", "_offset", "_total", "_upto", "_inside")
 
 
 def abc_class(before: Column, cfg: PolicyConfig) -> Column:
