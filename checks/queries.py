@@ -214,7 +214,7 @@ def _snapshot_rows(t: Tables) -> DataFrame:
 
 
 def _line_value_share(t: Tables) -> DataFrame:
-    """The running share over single lines, in seven ranges."""
+    """The running share over single lines, in seven ranges at least."""
     lines = t.items.withColumn("line_value", F.col("price") * F.col("qty"))
     shares = segment.cumulative_share(lines, "line_value", ["order_id", "item_seq"], buckets=7)
     return shares.select("order_id", "item_seq", "line_value", "cum_share_before", "cum_share")

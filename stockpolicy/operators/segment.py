@@ -24,7 +24,8 @@ def cumulative_share(
 
     1. store the rows, because ranging reads them twice (sample, then shuffle); the same
        write counts them;
-    2. range them on (by, value desc, ties), as many ranges as the rows need (ROWS_PER_RANGE).
+    2. range them on (by, value desc, ties), as many ranges as the rows need (ROWS_PER_RANGE),
+       and `buckets` at least: a fixed number alone would let a task grow with the table.
        Ranges stay balanced when a third of the rows carry the same value, because the ties
        differ. This is the one shuffle of the rows: they are stored in buckets by range, so
        Spark knows where each range lies;
@@ -40,7 +41,7 @@ def cumulative_share(
     order = [F.desc(value), *ties]
     amount = F.coalesce(F.col(value), F.lit(0)).cast(AMOUNT)
     source, rows = stored_count(df.withColumn("_amount", amount), "amounts")
-    n = buckets or max(1, math.ceil(rows / ROWS_PER_RANGE))
+    n = max(buckets or 1, math.ceil(rows / ROWS_PER_RANGE))
     groups = Window.partitionBy(*by)
     if n == 1:  # one range needs no ranging: its rows fit a task, and there is no offset
         so_far = groups.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

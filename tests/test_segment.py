@@ -92,6 +92,17 @@ def test_few_rows_make_few_ranges(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_a_fixed_number_of_ranges_grows_with_the_rows(spark, monkeypatch):
+    """`buckets` is the least number of ranges: no range, so no task, holds more than its rows."""
+    monkeypatch.setattr("stockpolicy.operators.segment.ROWS_PER_RANGE", 100)
+    rows = [("c", f"s{i}", float(i % 37)) for i in range(1000)]
+    out = cumulative_share(spark.createDataFrame(rows, SCHEMA), "annualised_revenue", ["category", "seller_id"], buckets=2)
+    assert "out of 10" in plan_of(out)
+    want = expected(rows)
+    for r in out.collect():
+        assert (r["cum_share_before"], r["cum_share"]) == pytest.approx(want["c", r["seller_id"]], abs=1e-12)
+
+
 def test_no_revenue_at_all(spark):
     df = spark.createDataFrame([("a", "1", 0.0), ("a", "2", None)], SCHEMA)
     got = classify_abc(df, CFG).collect()
