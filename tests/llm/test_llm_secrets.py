@@ -175,3 +175,50 @@ def test_redaction(odd):
 def test_empty(nothing):
     assert secret_scan.findings(nothing).count() == 0
     assert secret_scan.redact(nothing).count() == 0
+
+
+def test_all_findings_are_trained_on(spark):
+    """Every finding of the corpus, however many and however long, reaches the model's sums and the limit."""
+    lengthy = "".join(f"{i:x}Zq" for i in range(150))
+    texts = [f"see {hashlib.md5(str(i).encode()).hexdigest()} or host{i:08d}.example.com now" for i in range(1700)]
+    docs = spark.createDataFrame(list(enumerate([*texts, f"long {lengthy} end"])), "doc_id long, text string")
+    found = secret_scan.candidates(docs).cache()
+    rows = secret_scan.pieces(found)
+    own = rows.filter("not drawn and before = ''").groupBy("label").agg({"share": "sum"}).collect()
+    assert {r[0]: round(r[1], 6) for r in own} == {1: 1700, 0: 1701}
+    kept = {r["value"] for r in rows.filter("not drawn").select("value").distinct().collect()}
+    assert {lengthy[at : at + secret_scan.PIECE] for at in range(0, len(lengthy), secret_scan.PIECE)} <= kept
+    n0, n1 = secret_scan.chunks(rows).selectExpr("sum(n0)", "sum(n1)").first()
+    assert (round(n0 / secret_scan.WHOLE, 3), round(n1 / secret_scan.WHOLE, 3)) == (2 * 1701, 2 * 1700)
+
+
+def test_sums_are_those_of_all_rows_in_any_order(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "DRAWN", 40)
+    docs = spark.createDataFrame([(i, f"{i} {i:032x} {TAIL}{i}") for i in range(60)], "doc_id long, text string")
+    rows = secret_scan.pieces(secret_scan.candidates(docs)).cache()
+    rng, weights = np.random.default_rng(3), {0: 0.5, 1: 0.25}
+    params = [rng.normal(0, 0.2, (5, secret_scan.SIGNS, 4)), rng.normal(0, 0.1, 4), rng.normal(0, 0.3, 12), np.zeros(1)]
+    held = secret_scan.chunks(rows)
+    got = secret_scan.summed_gradients(held, params, weights)
+    again = secret_scan.summed_gradients(held.repartition(7, "signs"), params, weights)
+    assert all((g == a).all() for g, a in zip(got, again))
+    plain = rows.collect()
+    x = secret_scan.encode([(r["before"], r["value"], r["after"]) for r in plain])[0]
+    w = np.array([r["share"] * (1 if r["drawn"] else weights[r["label"]]) for r in plain])
+    want = secret_scan._gradients(params, x, np.array([r["label"] for r in plain], float), w)
+    for g, e in zip(got, want):
+        assert np.allclose(g, e, atol=1e-3)
+
+
+def test_the_model_does_not_depend_on_partitions(spark, documents, monkeypatch):
+    monkeypatch.setattr(secret_scan, "STEPS", 3)
+    one, other = (secret_scan.train(secret_scan.candidates(documents.repartition(n))) for n in (2, 9))
+    assert all(np.array_equal(a, b) for a, b in zip(one, other))
+
+
+def test_the_limit_is_the_weighted_share_of_secrets():
+    params = [np.zeros(1)] * 4
+    score, y = np.concatenate([np.arange(100.0) / 10, -np.arange(100.0) / 10]), np.repeat([1.0, 0.0], 100)
+    for weight, found in ((np.ones(200), 90), (np.where(score == 0, 50.0, 1.0), 100)):
+        model = secret_scan.calibrated(params, score, y, weight, 0.895)
+        assert (secret_scan._probability(score[:100], model.scale, model.offset) >= model.limit).sum() == found
