@@ -28,7 +28,7 @@ from stockpolicy.llm.common import map_batches, send_package, texts_of
 CAPACITY = 2048
 END = b"\0\0\0\0"  # id 0 after every document
 SHARD_ROWS = 50_000
-CACHED, CACHED_CHARS = 1_000_000, 48  # entries of a worker's cache (some 200 MB), longest entry
+CACHED, CACHED_CHARS = 400_000, 48  # entries of a worker's cache (some 60 MB), longest entry
 
 _loaded: dict[str, Encoder] = {}
 
