@@ -33,3 +33,21 @@ def test_clean_documents_are_kept(spark, documents):
     good = spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 1 AND toxic = 0")
     judged = quality_rules.judge(documents).join(good, "doc_id")
     assert judged.filter("NOT kept AND NOT base_failed").count() <= 0.01 * judged.count()
+
+
+def test_a_large_batch_is_handed_on_in_slices(spark, monkeypatch):
+    """Whatever Spark's batches, `run` sees a bounded number of bytes, and every row once."""
+    import pyarrow as pa
+
+    from stockpolicy.llm import common
+
+    sizes = [5, 9_000_000, 3, 2_000_000, 7, 0]
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in sizes]})
+    parts = list(common.slices(batch))
+    assert [len(t) for p in parts for t in p.column("text").to_pylist()] == sizes and len(parts) == 3
+    even = pa.RecordBatch.from_pydict({"text": ["x" * 10_000] * 1000})
+    assert max(p.nbytes for p in common.slices(even)) <= common.BATCH_BYTES
+    monkeypatch.setattr(common, "BATCH_BYTES", 100)
+    docs = spark.range(500).selectExpr("id", "repeat('ab', 20) text")
+    out = common.map_batches(docs, "id long, n int", lambda b: {"id": b.column("id"), "n": [b.num_rows] * b.num_rows})
+    assert sorted(r["id"] for r in out.collect()) == list(range(500))
