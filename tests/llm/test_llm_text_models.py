@@ -315,6 +315,58 @@ def test_a_passage_held_twice(spark):
         assert set(got[(got.doc_id == i) & (got.end_word - got.start_word >= 80)].start_word) >= {60, *([200] if i % 2 else [])}
 
 
+def test_a_word_over_and_over(spark):
+    """Runs of one word or of a short line, of any lengths, are shared passages from LEAST words on."""
+    rng = np.random.default_rng(31)
+    line = words(rng, 3)
+    rows = [(1, ["the"] * 300), (2, words(rng, 80) + ["the"] * 70 + words(rng, 80)), (3, words(rng, 30) + ["the"] * 20 + words(rng, 30))]
+    rows += [(4, line * 60), (5, words(rng, 40) + line * 20), (6, words(rng, 20) + line * 8 + words(rng, 20)), (7, words(rng, 100))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = substring_dedup.passages(docs).toPandas()
+    held = {i: {w for s, e in zip(g.start_word, g.end_word) for w in range(s, e)} for i, g in got.groupby("doc_id")}
+    assert set(held) == {1, 2, 4, 5}
+    assert held[1] >= set(range(300)) and held[2] >= set(range(80, 150)) and held[4] >= set(range(180)) and held[5] >= set(range(40, 100))
+    text = dict(rows)
+    for r in got[got.identity == 1].itertuples():
+        assert text[r.doc_id][r.start_word : r.end_word] == text[r.other_doc_id][r.other_start_word : r.other_end_word]
+
+
+def test_a_common_line_costs_its_texts(spark, monkeypatch):
+    """A line that is no passage is not compared in all pairs of its texts; a passage in two of them is found."""
+    rng = np.random.default_rng(37)
+    line, rest, n = words(rng, 25), words(rng, 25), 150
+    rows = [(i, " ".join(words(rng, 60) + line + (rest if i in (70, 80) else words(rng, 25)) + words(rng, 60))) for i in range(n)]
+    counts, compared = [], substring_dedup._compared
+
+    def counted(texts, found):
+        counts.append(found.count())
+        return compared(texts, found)
+
+    monkeypatch.setattr(substring_dedup, "_compared", counted)
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert {(70, 80), (80, 70)} <= set(zip(got.doc_id, got.other_doc_id)) and set(got.doc_id) == {70, 80}
+    assert sum(counts) < 100 * n
+
+
+def test_equal_runs_are_those_of_brute_force():
+    """Every run of LEAST words that both texts have is offered by both, whatever seeds are known."""
+    rng = np.random.default_rng(41)
+    for k in range(20):
+        run = words(rng, 70) if k % 2 else [f"w{x}" for x in rng.integers(0, 2, 90)]
+        sides = [" ".join(words(rng, int(rng.integers(0, 60))) + run + words(rng, int(rng.integers(0, 60)))).encode() for _ in (0, 1)]
+        hashes = [substring_dedup.word_hashes([t])[0] for t in sides]
+        text, place, seed = substring_dedup.seeds(*substring_dedup.word_hashes(sides))
+        both = set(seed[text == 0]) & set(seed[text == 1])
+        held = [np.array([p for p, s in zip(place[text == i], seed[text == i]) if s in both], int) for i in (0, 1)]
+        found = [dict(zip(*(v.tolist() for v in substring_dedup.equal_runs(hashes[i], held[i], held[i])))) for i in (0, 1)]
+        runs = [{i: tuple(t.split()[i : i + 50]) for i in range(len(t.split()) - 49)} for t in sides]
+        shared = set(runs[0].values()) & set(runs[1].values())
+        for i in (0, 1):
+            first = {r for p, r in runs[i].items() if p in found[i]}
+            assert shared <= first
+        assert len({found[0][p] for p in found[0] if runs[0][p] in shared} & set(found[1].values())) == len(shared)
+
+
 def test_every_run_shares_a_seed():
     rng = np.random.default_rng(9)
     run = [w.encode() for w in words(rng, substring_dedup.SHINGLE + substring_dedup.WINDOW - 1)]
